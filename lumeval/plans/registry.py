@@ -3,13 +3,32 @@
 from __future__ import annotations
 
 from . import evaluation as ev
+from . import verdict_queries as vq
 
 QUERIES = {
     "leaderboard_basic": ev.leaderboard_basic,
     "exact_match_trim": ev.exact_match_trim,
+    "judge_first_token": vq.judge_first_token,
+    "judge_capped": vq.judge_capped,
+    "judge_plain": vq.judge_plain,
+    "judge_int": vq.judge_int,
+    "toxicity_verdict": vq.toxicity_verdict,
+    "quality_verdict": vq.quality_verdict,
+    "accept_verdict": vq.accept_verdict,
+    "pass_verdict": vq.pass_verdict,
+    "hallucination_rate": vq.hallucination_rate,
 }
 
 ORACLE_SQL = {
     "leaderboard_basic": ev.LEADERBOARD_BASIC_SQL,
     "exact_match_trim": ev.EXACT_MATCH_TRIM_SQL,
+    "judge_first_token": vq.JUDGE_FIRST_TOKEN_SQL,
+    "judge_capped": vq.JUDGE_CAPPED_SQL,
+    "judge_plain": vq.JUDGE_PLAIN_SQL,
+    "judge_int": vq.JUDGE_INT_SQL,
+    "toxicity_verdict": vq.TOXICITY_VERDICT_SQL,
+    "quality_verdict": vq.QUALITY_VERDICT_SQL,
+    "accept_verdict": vq.ACCEPT_VERDICT_SQL,
+    "pass_verdict": vq.PASS_VERDICT_SQL,
+    "hallucination_rate": vq.HALLUCINATION_RATE_SQL,
 }
