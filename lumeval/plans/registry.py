@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import evaluation as ev
+from . import retrieval_queries as rq
 from . import verdict_queries as vq
 
 QUERIES = {
@@ -17,6 +18,12 @@ QUERIES = {
     "accept_verdict": vq.accept_verdict,
     "pass_verdict": vq.pass_verdict,
     "hallucination_rate": vq.hallucination_rate,
+    "retrieve_topk": rq.retrieve_topk,
+    "rag_precision_recall": rq.rag_precision_recall,
+    "rag_k_sweep": rq.rag_k_sweep,
+    "rag_context": rq.rag_context,
+    "cosine_pairs": rq.cosine_pairs,
+    "similarity_threshold": rq.similarity_threshold,
 }
 
 ORACLE_SQL = {
@@ -31,4 +38,10 @@ ORACLE_SQL = {
     "accept_verdict": vq.ACCEPT_VERDICT_SQL,
     "pass_verdict": vq.PASS_VERDICT_SQL,
     "hallucination_rate": vq.HALLUCINATION_RATE_SQL,
+    "retrieve_topk": rq.RETRIEVE_TOPK_SQL,
+    "rag_precision_recall": rq.RAG_PRECISION_RECALL_SQL,
+    "rag_k_sweep": rq.RAG_K_SWEEP_SQL,
+    "rag_context": rq.RAG_CONTEXT_SQL,
+    "cosine_pairs": rq.COSINE_PAIRS_SQL,
+    "similarity_threshold": rq.SIMILARITY_THRESHOLD_SQL,
 }
