@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import curation_queries as cq
 from . import evaluation as ev
 from . import retrieval_queries as rq
 from . import verdict_queries as vq
@@ -24,6 +25,20 @@ QUERIES = {
     "rag_context": rq.rag_context,
     "cosine_pairs": rq.cosine_pairs,
     "similarity_threshold": rq.similarity_threshold,
+    "parse_generated": cq.parse_generated,
+    "parse_errors": cq.parse_errors,
+    "format_filter": cq.format_filter,
+    "length_filter": cq.length_filter,
+    "schema_validate": cq.schema_validate,
+    "dedup_exact": cq.dedup_exact,
+    "curation_funnel": cq.curation_funnel,
+    "scenario_counts": cq.scenario_counts,
+    "assign_ids": cq.assign_ids,
+    "short_key": cq.short_key,
+    "review_sample": cq.review_sample,
+    "apply_decisions": cq.apply_decisions,
+    "extend_dataset": cq.extend_dataset,
+    "tag_rows": cq.tag_rows,
 }
 
 ORACLE_SQL = {
@@ -44,4 +59,18 @@ ORACLE_SQL = {
     "rag_context": rq.RAG_CONTEXT_SQL,
     "cosine_pairs": rq.COSINE_PAIRS_SQL,
     "similarity_threshold": rq.SIMILARITY_THRESHOLD_SQL,
+    "parse_generated": cq.PARSE_GENERATED_SQL,
+    "parse_errors": cq.PARSE_ERRORS_SQL,
+    "format_filter": cq.FORMAT_FILTER_SQL,
+    "length_filter": cq.LENGTH_FILTER_SQL,
+    "schema_validate": cq.SCHEMA_VALIDATE_SQL,
+    "dedup_exact": cq.DEDUP_EXACT_SQL,
+    "curation_funnel": cq.CURATION_FUNNEL_SQL,
+    "scenario_counts": cq.SCENARIO_COUNTS_SQL,
+    "assign_ids": cq.ASSIGN_IDS_SQL,
+    "short_key": cq.SHORT_KEY_SQL,
+    "review_sample": cq.REVIEW_SAMPLE_SQL,
+    "apply_decisions": cq.APPLY_DECISIONS_SQL,
+    "extend_dataset": cq.EXTEND_DATASET_SQL,
+    "tag_rows": cq.TAG_ROWS_SQL,
 }

@@ -271,15 +271,24 @@ examples AS (
 
 # --------------------------------------------------------------------------
 # generated_payloads: one generator reply per document, JSON with an
-# "examples" array holding one object per line of the text.
+# "examples" array of two objects: (first line, text, last line) and
+# (last line, text, first line); last line is null for one-line texts.
 #   doc_id mod 13 = 0 -> truncated (bad JSON); 1 -> key "items" (no examples)
 # --------------------------------------------------------------------------
 
 
+def _first_last(text: str = "text"):
+    first = F.substring_index(text, NL, 1)
+    last = F.when(F.instr(text, NL) > 0, F.substring_index(text, NL, -1))
+    return first, last
+
+
 def generated_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents")
-    items = F.transform(F.split("text", NL), lambda l: F.struct(
-        l.alias("question"), F.col("lang").alias("context"), F.col("source").alias("reference_answer")))
+    first, last = _first_last()
+    items = F.array(
+        F.struct(first.alias("question"), F.col("text").alias("context"), last.alias("reference_answer")),
+        F.struct(last.alias("question"), F.col("text").alias("context"), first.alias("reference_answer")))
     key = F.when(F.col("doc_id") % 13 == 1, F.lit("items")).otherwise(F.lit("examples"))
     body = F.to_json(F.create_map(key, items))
     raw = F.when(F.col("doc_id") % 13 == 0, F.substring(body, 1, 20)).otherwise(body)
@@ -288,16 +297,80 @@ def generated_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 GENERATED_PAYLOADS_SQL = r"""
+gp_src AS (
+  SELECT doc_id, source, text, split_part(text, chr(10), 1) AS fl,
+         CASE WHEN position(chr(10) IN text) > 0 THEN regexp_extract(text, '[^\n]*$') END AS ll
+  FROM documents),
 generated_payloads AS (
   SELECT doc_id AS payload_id, source AS scenario,
     CASE WHEN doc_id % 13 = 0 THEN substring(body, 1, 20) ELSE body END AS raw
   FROM (SELECT doc_id, source,
           CAST(json_object(CASE WHEN doc_id % 13 = 1 THEN 'items' ELSE 'examples' END,
-            list_transform(string_split(text, chr(10)), lambda l:
-              json_object('question', l, 'context', lang, 'reference_answer', source))) AS VARCHAR) AS body
-        FROM documents))
+            json_array(json_object('question', fl, 'context', text, 'reference_answer', ll),
+                       json_object('question', ll, 'context', text, 'reference_answer', fl))) AS VARCHAR) AS body
+        FROM gp_src))
 """
 
+# --------------------------------------------------------------------------
+# support_cases: generated support Q&A objects for schema validation (D3).
+#   difficulty cycles easy, medium, hard, expert (invalid);
+#   category cycles the five valid values and 'other' (invalid);
+#   doc_id mod 11: 0 -> a JSON array, 1 -> no category key,
+#   2 -> numeric answer, 3 -> blank question.
+# --------------------------------------------------------------------------
+
+
+def support_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read_table(spark, sf_dir, "documents")
+    first, last = _first_last()
+    ans = F.coalesce(last, F.col("text"))
+    diff = F.element_at(F.array(*[F.lit(x) for x in ["easy", "medium", "hard", "expert"]]),
+                        (F.col("doc_id") % 4 + 1).cast("int"))
+    cat = F.element_at(F.array(*[F.lit(x) for x in ["products", "shipping", "returns", "account",
+                                                     "payment", "other"]]),
+                       (F.col("doc_id") % 6 + 1).cast("int"))
+    r = F.col("doc_id") % 11
+    raw = (F.when(r == 0, F.lit('["not", "an", "object"]'))
+           .when(r == 1, F.to_json(F.struct(first.alias("question"), ans.alias("answer"),
+                                            diff.alias("difficulty"))))
+           .when(r == 2, F.to_json(F.struct(first.alias("question"), F.lit(42).alias("answer"),
+                                            diff.alias("difficulty"), cat.alias("category"))))
+           .when(r == 3, F.to_json(F.struct(F.lit("   ").alias("question"), ans.alias("answer"),
+                                            diff.alias("difficulty"), cat.alias("category"))))
+           .otherwise(F.to_json(F.struct(first.alias("question"), ans.alias("answer"),
+                                         diff.alias("difficulty"), cat.alias("category")))))
+    return d.select(F.col("doc_id").alias("id"), raw.alias("raw"))
+
+
+SUPPORT_CASES_SQL = r"""
+sc_src AS (
+  SELECT doc_id, split_part(text, chr(10), 1) AS fl,
+    coalesce(CASE WHEN position(chr(10) IN text) > 0 THEN regexp_extract(text, '[^\n]*$') END, text) AS ans,
+    (['easy', 'medium', 'hard', 'expert'])[doc_id % 4 + 1] AS diff,
+    (['products', 'shipping', 'returns', 'account', 'payment', 'other'])[doc_id % 6 + 1] AS cat
+  FROM documents),
+support_cases AS (
+  SELECT doc_id AS id,
+    CASE doc_id % 11
+      WHEN 0 THEN '["not", "an", "object"]'
+      WHEN 1 THEN CAST(json_object('question', fl, 'answer', ans, 'difficulty', diff) AS VARCHAR)
+      WHEN 2 THEN CAST(json_object('question', fl, 'answer', 42, 'difficulty', diff, 'category', cat) AS VARCHAR)
+      WHEN 3 THEN CAST(json_object('question', '   ', 'answer', ans, 'difficulty', diff, 'category', cat) AS VARCHAR)
+      ELSE CAST(json_object('question', fl, 'answer', ans, 'difficulty', diff, 'category', cat) AS VARCHAR)
+    END AS raw
+  FROM sc_src)
+"""
+
+
+def decisions(sample: DataFrame, key_col: str = "seq") -> DataFrame:
+    """Reviewer decisions for a sample: first md5 hex digit of the key:
+    0-9 -> 'y', a-d -> 'n', e-f -> 's' (stop)."""
+    c = F.substring(F.md5(F.col(key_col).cast("string")), 1, 1)
+    dec = F.when(c.rlike("^[0-9]$"), F.lit("y")).when(c.isin("a", "b", "c", "d"), F.lit("n")) \
+        .otherwise(F.lit("s"))
+    return sample.select(key_col, dec.alias("decision"))
+
+
 # --------------------------------------------------------------------------
 # rag: every embedding is a question against all the *other* embeddings
 # (leave-one-out); relevant chunks = the other vectors with the same label.
