@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import curation_queries as cq
 from . import evaluation as ev
+from . import guard_queries as gq
 from . import retrieval_queries as rq
 from . import verdict_queries as vq
 
@@ -39,6 +40,13 @@ QUERIES = {
     "apply_decisions": cq.apply_decisions,
     "extend_dataset": cq.extend_dataset,
     "tag_rows": cq.tag_rows,
+    "injection_scan": gq.injection_scan,
+    "policy_scan": gq.policy_scan,
+    "guardrail_flow": gq.guardrail_flow,
+    "guardrail_sample": gq.guardrail_sample,
+    "category_extract": gq.category_extract,
+    "prompt_accuracy": gq.prompt_accuracy,
+    "prompt_render": gq.prompt_render,
 }
 
 ORACLE_SQL = {
@@ -73,4 +81,11 @@ ORACLE_SQL = {
     "apply_decisions": cq.APPLY_DECISIONS_SQL,
     "extend_dataset": cq.EXTEND_DATASET_SQL,
     "tag_rows": cq.TAG_ROWS_SQL,
+    "injection_scan": gq.INJECTION_SCAN_SQL,
+    "policy_scan": gq.POLICY_SCAN_SQL,
+    "guardrail_flow": gq.GUARDRAIL_FLOW_SQL,
+    "guardrail_sample": gq.GUARDRAIL_SAMPLE_SQL,
+    "category_extract": gq.CATEGORY_EXTRACT_SQL,
+    "prompt_accuracy": gq.PROMPT_ACCURACY_SQL,
+    "prompt_render": gq.PROMPT_RENDER_SQL,
 }
