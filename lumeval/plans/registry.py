@@ -6,6 +6,7 @@ from . import curation_queries as cq
 from . import evaluation as ev
 from . import guard_queries as gq
 from . import retrieval_queries as rq
+from . import timeseries_queries as tq
 from . import verdict_queries as vq
 
 QUERIES = {
@@ -47,6 +48,11 @@ QUERIES = {
     "category_extract": gq.category_extract,
     "prompt_accuracy": gq.prompt_accuracy,
     "prompt_render": gq.prompt_render,
+    "price_stats": tq.price_stats,
+    "recent_prices": tq.recent_prices,
+    "quotes": tq.quotes,
+    "financials": tq.financials,
+    "batch_requests": tq.batch_requests,
 }
 
 ORACLE_SQL = {
@@ -88,4 +94,9 @@ ORACLE_SQL = {
     "category_extract": gq.CATEGORY_EXTRACT_SQL,
     "prompt_accuracy": gq.PROMPT_ACCURACY_SQL,
     "prompt_render": gq.PROMPT_RENDER_SQL,
+    "price_stats": tq.PRICE_STATS_SQL,
+    "recent_prices": tq.RECENT_PRICES_SQL,
+    "quotes": tq.QUOTES_SQL,
+    "financials": tq.FINANCIALS_SQL,
+    "batch_requests": tq.BATCH_REQUESTS_SQL,
 }

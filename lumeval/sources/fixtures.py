@@ -13,6 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+def _kv(key: str, value):
+    """One map entry for ``map_from_entries`` (string key, string value)."""
+    return F.struct(F.lit(key).alias("k"), F.lit(value).cast("string").alias("v") if isinstance(value, str)
+                    else value.cast("string").alias("v"))
+
+
 from ..functions.text import ASCII_LOWER, ASCII_UPPER, words
 from .tables import read_table
 
@@ -471,14 +477,14 @@ def company_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = c.join(rev, "c_custkey", "left").join(
         F.broadcast(n.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")), "c_nationkey", "left")
     info = F.map_from_entries(F.filter(F.array(
-        F.struct(F.lit("symbol"), F.col("c_custkey").cast("string")),
-        F.struct(F.lit("longName"), F.col("c_name")),
-        F.struct(F.lit("sector"), F.col("c_mktsegment")),
-        F.struct(F.lit("industry"), F.col("n_name")),
-        F.struct(F.lit("totalRevenue"), F.col("revenue").cast("string")),
-        F.struct(F.lit("numberOfAnalystOpinions"), F.col("n_orders").cast("string")),
-        F.struct(F.lit("targetMeanPrice"), F.col("c_acctbal").cast("string")),
-    ), lambda kv: kv.getField("col2").isNotNull()))
+        _kv("symbol", F.col("c_custkey").cast("string")),
+        _kv("longName", F.col("c_name")),
+        _kv("sector", F.col("c_mktsegment")),
+        _kv("industry", F.col("n_name")),
+        _kv("totalRevenue", F.col("revenue").cast("string")),
+        _kv("numberOfAnalystOpinions", F.col("n_orders").cast("string")),
+        _kv("targetMeanPrice", F.col("c_acctbal").cast("string")),
+    ), lambda kv: kv.getField("v").isNotNull()))
     return j.select(F.col("c_custkey").cast("string").alias("symbol"), info.alias("info"))
 
 
