@@ -14,13 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import broadcast_if_small
-
-def _kv(key: str, value):
-    """One map entry for ``map_from_entries`` (string key, string value)."""
-    return F.struct(F.lit(key).alias("k"), F.lit(value).cast("string").alias("v") if isinstance(value, str)
-                    else value.cast("string").alias("v"))
+from ..functions.maps import kv as _kv
 
+from .joins import broadcast_if_small
 
 # The accepted history periods, in order.
 VALID_PERIODS = ["1d", "5d", "1mo", "3mo", "6mo", "1y", "2y", "5y", "max"]

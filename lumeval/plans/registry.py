@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import curation_queries as cq
 from . import evaluation as ev
 from . import guard_queries as gq
+from . import lineage_queries as lq
 from . import retrieval_queries as rq
 from . import timeseries_queries as tq
 from . import verdict_queries as vq
@@ -53,6 +54,15 @@ QUERIES = {
     "quotes": tq.quotes,
     "financials": tq.financials,
     "batch_requests": tq.batch_requests,
+    "lineage_ancestors": lq.lineage_ancestors,
+    "latest_versions": lq.latest_versions,
+    "eval_inputs": lq.eval_inputs,
+    "artifact_metadata": lq.artifact_metadata,
+    "run_metrics_last": lq.run_metrics_last,
+    "file_manifest_counts": lq.file_manifest_counts,
+    "conversation_history": lq.conversation_history,
+    "predict_constant": lq.predict_constant,
+    "explode_lines": lq.explode_lines,
 }
 
 ORACLE_SQL = {
@@ -99,4 +109,13 @@ ORACLE_SQL = {
     "quotes": tq.QUOTES_SQL,
     "financials": tq.FINANCIALS_SQL,
     "batch_requests": tq.BATCH_REQUESTS_SQL,
+    "lineage_ancestors": lq.LINEAGE_ANCESTORS_SQL,
+    "latest_versions": lq.LATEST_VERSIONS_SQL,
+    "eval_inputs": lq.EVAL_INPUTS_SQL,
+    "artifact_metadata": lq.ARTIFACT_METADATA_SQL,
+    "run_metrics_last": lq.RUN_METRICS_LAST_SQL,
+    "file_manifest_counts": lq.FILE_MANIFEST_COUNTS_SQL,
+    "conversation_history": lq.CONVERSATION_HISTORY_SQL,
+    "predict_constant": lq.PREDICT_CONSTANT_SQL,
+    "explode_lines": lq.EXPLODE_LINES_SQL,
 }

@@ -13,11 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-def _kv(key: str, value):
-    """One map entry for ``map_from_entries`` (string key, string value)."""
-    return F.struct(F.lit(key).alias("k"), F.lit(value).cast("string").alias("v") if isinstance(value, str)
-                    else value.cast("string").alias("v"))
-
+from ..functions.maps import kv as _kv
 
 from ..functions.text import ASCII_LOWER, ASCII_UPPER, words
 from .tables import read_table
