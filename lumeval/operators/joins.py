@@ -14,3 +14,17 @@ def broadcast_if_small(small: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> Da
     (AQE may still broadcast it at run time by its measured size)."""
     n = small.limit(max_rows + 1).count()
     return F.broadcast(small) if n <= max_rows else small
+
+
+def ensure_parallelism(df: DataFrame, key: str | None = None, factor: int = 2) -> DataFrame:
+    """Spread a CPU-heavy row-local stage over the cluster.
+
+    A small input file is one scan partition, and byte-based coalescing can
+    squeeze text-heavy rows into few tasks.  When the frame has fewer
+    partitions than ``factor`` x the default parallelism it is hash
+    repartitioned (on ``key`` if given); a large input is left untouched.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism * factor
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key) if key else df.repartition(want)

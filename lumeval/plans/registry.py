@@ -6,6 +6,7 @@ from . import curation_queries as cq
 from . import evaluation as ev
 from . import guard_queries as gq
 from . import lineage_queries as lq
+from . import metric_queries as mq
 from . import retrieval_queries as rq
 from . import timeseries_queries as tq
 from . import verdict_queries as vq
@@ -63,6 +64,10 @@ QUERIES = {
     "conversation_history": lq.conversation_history,
     "predict_constant": lq.predict_constant,
     "explode_lines": lq.explode_lines,
+    "bleu_sentence": mq.bleu_sentence,
+    "rouge_l": mq.rouge_l,
+    "bertscore": mq.bertscore,
+    "benchmark_leaderboard": mq.benchmark_leaderboard,
 }
 
 ORACLE_SQL = {
@@ -118,4 +123,6 @@ ORACLE_SQL = {
     "conversation_history": lq.CONVERSATION_HISTORY_SQL,
     "predict_constant": lq.PREDICT_CONSTANT_SQL,
     "explode_lines": lq.EXPLODE_LINES_SQL,
+    "bleu_sentence": mq.BLEU_SENTENCE_SQL,
+    "bertscore": mq.BERTSCORE_SQL,
 }

@@ -56,8 +56,9 @@ def eval_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def eval_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dataset rows joined to the outputs of every variant on ``id``."""
+    from ..operators.joins import ensure_parallelism
     from ..operators.scorers import bind_outputs
-    return bind_outputs(eval_dataset(spark, sf_dir), eval_outputs(spark, sf_dir), "id")
+    return ensure_parallelism(bind_outputs(eval_dataset(spark, sf_dir), eval_outputs(spark, sf_dir), "id"), "id")
 
 
 EVAL_PAIRS_SQL = r"""
