@@ -323,3 +323,14 @@ FROM generated_payloads, unnest(CAST(coalesce(json_extract(raw, '$.examples'), '
      WITH ORDINALITY AS t(e, pos)
 WHERE json_valid(raw)
 """)
+
+
+def dedup_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordered greedy near-duplicate removal on whole document texts
+    (Jaccard > 0.9).  No SQL oracle: checked against a sequential loop in
+    the tests."""
+    from ..operators.joins import ensure_parallelism
+    from ..operators.neardup import near_dup_keep
+    from ..sources.tables import read_table
+    d = ensure_parallelism(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return near_dup_keep(d, "doc_id", "text", 0.9)

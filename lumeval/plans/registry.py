@@ -68,6 +68,7 @@ QUERIES = {
     "rouge_l": mq.rouge_l,
     "bertscore": mq.bertscore,
     "benchmark_leaderboard": mq.benchmark_leaderboard,
+    "dedup_near": cq.dedup_near,
 }
 
 ORACLE_SQL = {
