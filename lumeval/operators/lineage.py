@@ -19,20 +19,27 @@ def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent",
               max_rounds: int = 10_000) -> DataFrame:
     """``(node, ancestor, depth)`` for every ancestor of every node,
     depth = shortest path length."""
-    e = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p"))
+    e = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).distinct().checkpoint(eager=True)
+    # In a forest (one parent per node) every (node, ancestor) pair is reached
+    # by exactly one path, so rounds need no de-duplication against earlier
+    # rounds; with several parents, pairs already found are removed.
+    forest = e.groupBy("_c").count().filter(F.col("count") > 1).isEmpty()
     frontier = e.select(F.col("_c").alias("node"), F.col("_p").alias("ancestor"),
-                        F.lit(1).alias("depth")).distinct().checkpoint(eager=True)
+                        F.lit(1).alias("depth"))
     found = [frontier]
     seen = frontier.select("node", "ancestor")
     for _ in range(max_rounds):
         nxt = frontier.join(e, frontier["ancestor"] == e["_c"]).select(
             "node", F.col("_p").alias("ancestor"), (F.col("depth") + 1).alias("depth"))
-        nxt = nxt.groupBy("node", "ancestor").agg(F.min("depth").alias("depth")) \
-            .join(seen, ["node", "ancestor"], "left_anti").checkpoint(eager=True)
+        if not forest:
+            nxt = nxt.groupBy("node", "ancestor").agg(F.min("depth").alias("depth")) \
+                .join(seen, ["node", "ancestor"], "left_anti")
+        nxt = nxt.checkpoint(eager=True)
         if nxt.isEmpty():
             break
         found.append(nxt)
-        seen = seen.unionByName(nxt.select("node", "ancestor"))
+        if not forest:
+            seen = seen.unionByName(nxt.select("node", "ancestor"))
         frontier = nxt
     out = found[0]
     for f in found[1:]:

@@ -64,14 +64,20 @@ def price_stats(prices: DataFrame, periods: Sequence[str] = ("5d", "1mo", "max")
         F.count(F.lit(1)).alias("data_points"),
         F.min("ts").alias("_t0"), F.max("ts").alias("_t1"),
         F.min_by("close", "ts").alias("_p0"), F.max_by("close", "ts").alias("_p1"),
-        F.max("close").alias("_hi"), F.min("close").alias("_lo"), F.avg("close").alias("_avg"))
+        F.max("close").alias("_hi"), F.min("close").alias("_lo"),
+        F.sum(F.round(F.col("close") * 100).cast("long")).alias("_cents"))
+    # mean to the cent, half up, in integer arithmetic: the same in any engine
+    # and any summation order (a float mean of 2-decimal prices often sits on
+    # a tie such as 44.795)
+    n = F.col("data_points")
+    avg = F.floor((2 * F.col("_cents") + n) / (2 * n)) / 100
     return g.select(
         "symbol", "period", "data_points",
         F.date_format("_t0", "yyyy-MM-dd").alias("start_date"),
         F.date_format("_t1", "yyyy-MM-dd").alias("end_date"),
         F.round("_p0", 2).alias("start_price"), F.round("_p1", 2).alias("end_price"),
         F.round("_hi", 2).alias("high"), F.round("_lo", 2).alias("low"),
-        F.round("_avg", 2).alias("average"),
+        avg.alias("average"),
         F.round(F.try_divide(F.col("_p1") - F.col("_p0"), F.col("_p0")) * 100, 2).alias("total_return_percent"))
 
 

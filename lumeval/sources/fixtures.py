@@ -30,14 +30,21 @@ NL = "\n"
 # --------------------------------------------------------------------------
 
 
-def eval_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("id"), F.col("lang").alias("category"),
-        F.col("text").alias("reference"))
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # text work is CPU-bound: spread the (few) scan splits over the cluster first
+    from ..operators.joins import ensure_parallelism
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return ensure_parallelism(d, "doc_id")
+
 
+def eval_dataset(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
+    d = docs if docs is not None else _documents(spark, sf_dir)
+    return d.select(F.col("doc_id").alias("id"), F.col("lang").alias("category"),
+                    F.col("text").alias("reference"))
 
-def eval_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read_table(spark, sf_dir, "documents").select(
+
+def eval_outputs(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
+    d = (docs if docs is not None else _documents(spark, sf_dir)).select(
         F.col("doc_id").alias("id"), "text").withColumn("w", words("text"))
     w = F.col("w")
     echo = F.when(F.col("id") % 2 == 0,
@@ -55,10 +62,12 @@ def eval_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def eval_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dataset rows joined to the outputs of every variant on ``id``."""
-    from ..operators.joins import ensure_parallelism
+    """Dataset rows joined to the outputs of every variant on ``id``.
+    Both sides come from one repartitioned scan, hash-partitioned on the
+    join key, so the join adds no further shuffle of the text."""
     from ..operators.scorers import bind_outputs
-    return ensure_parallelism(bind_outputs(eval_dataset(spark, sf_dir), eval_outputs(spark, sf_dir), "id"), "id")
+    docs = _documents(spark, sf_dir)
+    return bind_outputs(eval_dataset(spark, sf_dir, docs), eval_outputs(spark, sf_dir, docs), "id")
 
 
 EVAL_PAIRS_SQL = r"""
