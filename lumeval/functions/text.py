@@ -13,7 +13,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WS = r"(?U)\s+"
+# Python's str.split() whitespace, as an explicit class (Java's (?U)\s lacks
+# the \x1c-\x1f separators Python also splits on).
+WS = "[\\t-\\r\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -39,7 +41,7 @@ def word_count(c) -> Column:
 
 def strip_py(c) -> Column:
     """Python ``str.strip()``: removes Unicode whitespace at both ends."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(_col(c), "^" + WS + "|" + WS + "$", "")
 
 
 def norm_collapse(c) -> Column:

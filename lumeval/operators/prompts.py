@@ -74,12 +74,21 @@ def resolve(prompts: DataFrame, refs: DataFrame, name_col: str = "name",
             version_col: str = "version") -> DataFrame:
     """Attach the template for each (name, version) reference; a null
     version means ``latest`` (highest published version of the name)."""
-    latest = prompts.groupBy("name").agg(F.max("version").alias("_latest"))
-    r = refs.join(latest, refs[name_col] == latest["name"], "left").drop(latest["name"])
-    r = r.withColumn("_v", F.coalesce(F.col(version_col), F.col("_latest"))).drop("_latest")
-    p = prompts.select(F.col("name").alias("_pn"), F.col("version").alias("_v"), "template")
-    return r.join(p, (r[name_col] == p["_pn"]) & (r["_v"] == p["_v"]), "left") \
-        .drop("_pn").drop(p["_v"]).withColumnRenamed("_v", "resolved_version")
+    latest = prompts.groupBy(F.col("name").alias("_ln")).agg(F.max("version").alias("_latest"))
+    r = refs.join(latest, F.col(name_col) == F.col("_ln"), "left")
+    r = r.withColumn("resolved_version", F.coalesce(F.col(version_col), F.col("_latest"))) \
+        .drop("_ln", "_latest")
+    p = prompts.select(F.col("name").alias("_pn"), F.col("version").alias("_pv"), "template")
+    return r.join(p, (F.col(name_col) == F.col("_pn")) & (F.col("resolved_version") == F.col("_pv")), "left") \
+        .drop("_pn", "_pv")
+
+
+def published_versions(prompts: DataFrame, name: str, limit: int = 10_000) -> list[int]:
+    """Version numbers of one prompt (a bounded catalog lookup)."""
+    rows = prompts.filter(F.col("name") == name).select("version").distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} versions of {name!r}")
+    return sorted(int(r["version"]) for r in rows)
 
 
 def render_column(template: Column, field: str, value: Column) -> Column:

@@ -173,11 +173,13 @@ def prompt_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B1 + B2 + F2 + A5: every user message rendered with every published
     version of the classifier prompt (versions resolved by reference)."""
     prompts = P.prompt_table(spark)
+    # the published versions of one prompt: a catalog lookup of a few rows
+    versions = P.published_versions(prompts, P.PROMPT_NAME)
     msgs = read_table(spark, sf_dir, "conversations").filter(F.col("role") == "user") \
-        .select("conv_id", "turn", F.col("text").alias("message"), F.lit(P.PROMPT_NAME).alias("name"))
-    refs = prompts.select("name", "version")
-    resolved = P.resolve(prompts, refs)
-    j = msgs.join(broadcast_if_small(resolved), "name")
+        .select("conv_id", "turn", F.col("text").alias("message"), F.lit(P.PROMPT_NAME).alias("name"),
+                F.explode(F.array(*[F.lit(v) for v in versions])).alias("version"))
+    resolved = P.resolve(prompts, prompts.select("name", "version"))
+    j = msgs.join(broadcast_if_small(resolved.drop("name")), "version")
     prompt = P.render_column(F.col("template"), "message", F.col("message"))
     from ..functions.text import messages
     return j.select("conv_id", "turn", F.col("resolved_version").alias("version"),
