@@ -1,10 +1,10 @@
 """Lineage records and graph queries.
 
 Edges are a plain ``(child, parent)`` table.  All ancestors with their
-minimum depth come from a frontier loop: each round joins the newest
-frontier to the edges (one shuffle), drops pairs already found, and is
-checkpointed to the shared checkpoint folder so the plan stays short and a
-lost executor only recomputes one round.  Rounds = graph depth.
+minimum depth come from a loop of joins, each round checkpointed to the
+shared checkpoint folder so the plan stays short and a lost executor only
+recomputes one round: pointer doubling when every node has one parent
+(rounds = log2 of the depth), breadth-first frontier rounds otherwise.
 """
 
 from __future__ import annotations
@@ -20,31 +20,57 @@ def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent",
     """``(node, ancestor, depth)`` for every ancestor of every node,
     depth = shortest path length."""
     e = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).distinct().checkpoint(eager=True)
-    # In a forest (one parent per node) every (node, ancestor) pair is reached
-    # by exactly one path, so rounds need no de-duplication against earlier
-    # rounds; with several parents, pairs already found are removed.
     forest = e.groupBy("_c").count().filter(F.col("count") > 1).isEmpty()
-    frontier = e.select(F.col("_c").alias("node"), F.col("_p").alias("ancestor"),
-                        F.lit(1).alias("depth"))
+    return _forest_ancestors(e, max_rounds) if forest else _dag_ancestors(e, max_rounds)
+
+
+def _union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _forest_ancestors(e: DataFrame, max_rounds: int) -> DataFrame:
+    """One parent per node: pointer doubling, ``log2(depth) + 1`` rounds.
+
+    With ``A`` = all ancestors within distance ``span`` and ``exact`` = the
+    ancestor at distance exactly ``span``, the ancestors at distances
+    ``span+1 .. 2*span`` of ``x`` are those of ``exact(x)`` within ``span``.
+    Every pair is produced once, so no de-duplication is needed."""
+    exact = e.select(F.col("_c").alias("node"), F.col("_p").alias("mid"))
+    found = [e.select(F.col("_c").alias("node"), F.col("_p").alias("ancestor"), F.lit(1).alias("depth"))]
+    span = 1
+    for _ in range(max_rounds):
+        acc = _union(found).select(F.col("node").alias("mid"), "ancestor", "depth")
+        nxt = exact.join(acc, "mid").select("node", "ancestor", (F.col("depth") + span).alias("depth")) \
+            .checkpoint(eager=True)
+        if nxt.isEmpty():
+            break
+        found.append(nxt)
+        span *= 2
+        exact = nxt.filter(F.col("depth") == span).select("node", F.col("ancestor").alias("mid"))
+    return _union(found)
+
+
+def _dag_ancestors(e: DataFrame, max_rounds: int) -> DataFrame:
+    """Several parents: breadth-first frontier rounds (rounds = depth); pairs
+    already found are removed each round so every pair keeps its first
+    (shortest) depth and no path is expanded twice."""
+    frontier = e.select(F.col("_c").alias("node"), F.col("_p").alias("ancestor"), F.lit(1).alias("depth"))
     found = [frontier]
     seen = frontier.select("node", "ancestor")
     for _ in range(max_rounds):
         nxt = frontier.join(e, frontier["ancestor"] == e["_c"]).select(
             "node", F.col("_p").alias("ancestor"), (F.col("depth") + 1).alias("depth"))
-        if not forest:
-            nxt = nxt.groupBy("node", "ancestor").agg(F.min("depth").alias("depth")) \
-                .join(seen, ["node", "ancestor"], "left_anti")
-        nxt = nxt.checkpoint(eager=True)
+        nxt = nxt.groupBy("node", "ancestor").agg(F.min("depth").alias("depth")) \
+            .join(seen, ["node", "ancestor"], "left_anti").checkpoint(eager=True)
         if nxt.isEmpty():
             break
         found.append(nxt)
-        if not forest:
-            seen = seen.unionByName(nxt.select("node", "ancestor"))
+        seen = seen.unionByName(nxt.select("node", "ancestor"))
         frontier = nxt
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out
+    return _union(found)
 
 
 def latest_versions(versions: DataFrame, name: str = "name", version: str = "version") -> DataFrame:

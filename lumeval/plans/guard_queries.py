@@ -200,3 +200,23 @@ SELECT c.conv_id, c.turn, CAST(p.version AS INTEGER) AS version,
   1 AS n_messages
 FROM conversations c, prompts p WHERE c.role = 'user'
 """)
+
+
+def guardrail_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 on Structured Streaming: the request log is written to the shared
+    folder, drained by a ``readStream`` query (``availableNow`` trigger,
+    parquet sink with a checkpoint) and the sink is read back.  Same rows as
+    ``guardrail_flow``."""
+    import uuid
+
+    from ..session import shared_dir
+    from ..streaming.guardrail_stream import guard_stream, run_to_sink
+    root = shared_dir(spark, f"streams/guardrail-{uuid.uuid4().hex}")
+    X.requests(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/requests")
+    q = run_to_sink(guard_stream(spark, f"{root}/requests"), f"{root}/out", f"{root}/checkpoint")
+    q.awaitTermination()
+    cols = [f.name for f in guardrail_flow(spark, sf_dir).schema.fields]
+    return spark.read.parquet(f"{root}/out").select(*cols)
+
+
+GUARDRAIL_STREAM_SQL = GUARDRAIL_FLOW_SQL

@@ -69,6 +69,7 @@ QUERIES = {
     "bertscore": mq.bertscore,
     "benchmark_leaderboard": mq.benchmark_leaderboard,
     "dedup_near": cq.dedup_near,
+    "guardrail_stream": gq.guardrail_stream,
 }
 
 ORACLE_SQL = {
@@ -126,4 +127,5 @@ ORACLE_SQL = {
     "explode_lines": lq.EXPLODE_LINES_SQL,
     "bleu_sentence": mq.BLEU_SENTENCE_SQL,
     "bertscore": mq.BERTSCORE_SQL,
+    "guardrail_stream": gq.GUARDRAIL_STREAM_SQL,
 }

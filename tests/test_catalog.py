@@ -41,3 +41,12 @@ def test_file_manifest(spark, scratch):
     C.write_text_artifact(df, "text", "split", f"{scratch}/art")
     m = C.file_manifest(spark, f"{scratch}/art").groupBy("split").agg(F.sum("n_bytes").alias("b"))
     assert {r["split"]: r["b"] for r in m.collect()} == {"train": 14, "test": 4}
+
+
+def test_pointer_doubling_equals_breadth_first(spark):
+    from lumeval.operators.lineage import _dag_ancestors, _forest_ancestors
+    rows = [(k, k // 2) for k in range(1, 300)] + [(1000 + i, 1000 + i - 1) for i in range(1, 40)]
+    e = spark.createDataFrame(rows, "_c long, _p long")
+    a = sorted(_forest_ancestors(e, 1000).collect())
+    b = sorted(_dag_ancestors(e, 1000).collect())
+    assert a == b and len(a) > 0
