@@ -13,9 +13,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.split() whitespace, as an explicit class (Java's (?U)\s lacks
-# the \x1c-\x1f separators Python also splits on).
-WS = "[\\t-\\r\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+"
+# Python's str.split() whitespace: Unicode White_Space plus the \x1c-\x1f
+# separators (which Java's (?U)\s leaves out).  A (?U) class keeps Java's
+# fast path; an explicit code-point list measured about 2x slower.
+WS = r"(?U)[\s\x1c-\x1f]+"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 

@@ -122,3 +122,10 @@ def test_context_precision_recall(spark):
     df = spark.createDataFrame([([], [])], "g array<string>, r array<string>")
     row = df.select(p.alias("p"), rc.alias("r")).first()
     assert row["p"] == 0.0 and row["r"] == 1.0
+
+
+def test_whitespace_class_equals_python(spark):
+    ws = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+    text = "a" + "".join(ch + "b" for ch in ws)
+    df = spark.createDataFrame([(text,)], "s string")
+    assert df.select(tok(F.col("s")).alias("x")).first()["x"] == text.lower().split()
