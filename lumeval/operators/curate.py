@@ -175,3 +175,28 @@ def apply_decisions(sample: DataFrame, decisions: DataFrame, accepted: DataFrame
     if kept.count() > 0:  # one number to the driver
         return kept
     return accepted
+
+
+class EmptyStageError(RuntimeError):
+    """A curation stage removed every row."""
+
+
+def stage_gate(df: DataFrame, stage: str) -> DataFrame:
+    """Stop the build when a stage leaves no rows (one ``isEmpty`` probe,
+    which reads a single row)."""
+    if df.isEmpty():
+        raise EmptyStageError(f"all examples were removed at stage {stage!r}")
+    return df
+
+
+def curate(examples: DataFrame, verdicts: DataFrame, order_col: str = "seq",
+           verdict_key: str = "id", accept_col: str = "accept_raw") -> DataFrame:
+    """The staged build: format, length, exact dedup, gate, judge, gate.
+    Returns the accepted rows; raises ``EmptyStageError`` like the script's
+    early exits."""
+    lc = length_checks()
+    d = examples.filter(F.size(missing_fields()) == 0).filter(lc["length_ok"])
+    d = stage_gate(dedup_exact(d, order_col).drop("question_hash"), "dedup")
+    v = verdicts.select(F.col(verdict_key).alias(order_col), V.accept(F.col(accept_col)).alias("_acc"))
+    acc = d.join(v, order_col, "left").filter(F.coalesce(F.col("_acc.accept"), F.lit(False))).drop("_acc")
+    return stage_gate(acc, "judge")
