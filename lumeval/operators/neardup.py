@@ -13,14 +13,18 @@ Plan:
    row that is kept, or with one dropped by a kept row that also covers the
    copy), so a group of copies holding a third of all rows costs one
    aggregate, not a quadratic pair set.
-2. Candidate pairs by prefix filtering (PPJoin, Xiao et al. 2008): tokens
-   ordered by global rarity, each set contributes its first
-   ``|x| - ceil(t|x|) + 1`` tokens; an equi-join on the prefix token with
-   the length bound ``t|x| <= |y| <= |x|/t``.  All bounds use exact integer
-   arithmetic on the threshold's fraction.
-3. Exact verification of each candidate (``den * |x & y| > num * |x | y|``).
-4. Rounds over the verified edges: a row with a kept earlier neighbour is
-   dropped; a row whose earlier neighbours are all dropped is kept; repeat.
+2. Prefix filtering (PPJoin, Xiao et al. 2008): tokens ordered by global
+   rarity, each set keeps its first ``|x| - ceil(t|x|) + 1`` tokens; two sets
+   can only be similar if they share a prefix token and their sizes satisfy
+   ``t|x| <= |y| <= |x|/t``.  All bounds are exact integer arithmetic on the
+   threshold's fraction.
+3. Rounds (``resolve_front_rounds``) compare undecided rows only with rows
+   kept in the previous round and with the first ``front`` undecided rows of
+   each shared prefix-token group; every candidate is verified exactly
+   (``den * |x & y| > num * |x | y|``).  A row with a kept similar row is
+   dropped; a row whose earlier candidates were all compared and none is
+   similar is kept.  The similarity graph is never materialised, so a dense
+   cluster of near copies costs ``front^2`` plus its size in comparisons.
    Each round is checkpointed to the shared checkpoint folder.
 """
 
@@ -45,57 +49,78 @@ def token_sets(df: DataFrame, order_col: str, text_col: str) -> DataFrame:
         .withColumn("n", F.size("toks"))
 
 
-def candidate_edges(reps: DataFrame, num: int, den: int) -> DataFrame:
-    """Verified similar pairs ``(a, b)``, ``a < b``, Jaccard > num/den."""
+def prefix_rows(reps: DataFrame, num: int, den: int) -> DataFrame:
+    """``(seq, n, token)`` for the prefix tokens of every set (rarest first)."""
     freq = reps.select(F.explode("toks").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     long = reps.select("seq", "n", F.explode("toks").alias("token")).join(freq, "token")
-    # prefix length |x| - ceil(t|x|) + 1 with ceil(num*n/den) in integers
     plen = F.col("n") - F.floor((F.col("n") * num + (den - 1)) / den) + 1
     w = Window.partitionBy("seq").orderBy("df", "token")
-    pre = long.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= plen) \
+    return long.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= plen) \
         .select("seq", "n", "token")
-    a = pre.select(F.col("seq").alias("a"), F.col("n").alias("na"), "token")
-    b = pre.select(F.col("seq").alias("b"), F.col("n").alias("nb"), "token")
-    cand = a.join(b, "token").filter(
-        (F.col("a") < F.col("b")) & (F.col("nb") * den >= F.col("na") * num)
-        & (F.col("na") * den >= F.col("nb") * num)).select("a", "b").distinct()
-    sa = reps.select(F.col("seq").alias("a"), F.col("toks").alias("ta"))
-    sb = reps.select(F.col("seq").alias("b"), F.col("toks").alias("tb"))
-    v = cand.join(sa, "a").join(sb, "b")
-    inter = F.size(F.array_intersect("ta", "tb"))
-    union = F.size(F.array_union("ta", "tb"))
-    return v.filter(inter * den > union * num).select("a", "b")
-
-
-def resolve_greedy(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100_000) -> DataFrame:
-    """``(seq, kept)`` for the lexicographically first maximal independent
-    set of ``edges`` (a < b) in ``seq`` order."""
-    UNDECIDED, KEPT, DROPPED = 0, 1, 2
-    status = nodes.select("seq", F.lit(UNDECIDED).alias("st")).checkpoint(eager=True)
-    live = edges.checkpoint(eager=True)
+
+
+def resolve_front_rounds(reps: DataFrame, num: int, den: int, front: int = 256,
+                         max_rounds: int = 1_000_000) -> DataFrame:
+    """Ordered greedy resolution without materialising the similarity graph.
+
+    Each round compares an undecided row ``b`` only with
+    (1) rows kept in the previous round that share a prefix token with it
+        (each kept row meets each later row once), and
+    (2) the first ``front`` undecided rows, by order, of each of its prefix
+        token groups (a partial window limit, so a hot token costs
+        ``front`` rows per map task).
+    ``b`` is dropped when a verified kept neighbour exists; it is kept when
+    it is inside the front of every one of its prefix groups (so every
+    earlier row that could be similar was compared) and none is similar;
+    otherwise it waits.  The first undecided row is always decided, and a
+    dense cluster of near copies costs ``front^2`` + cluster size
+    comparisons instead of all its pairs.
+    """
+    UNDECIDED, KEPT, NEW_KEPT, DROPPED = 0, 1, 2, 3
+    pre = prefix_rows(reps, num, den).checkpoint(eager=True)
+    plen = pre.groupBy("seq").agg(F.count(F.lit(1)).alias("plen"))
+    sets = reps.select("seq", "toks")
+    status = reps.select("seq", F.lit(UNDECIDED).alias("st")).checkpoint(eager=True)
+    len_ok = ((F.col("nb") * den >= F.col("na") * num) & (F.col("na") * den >= F.col("nb") * num))
     for _ in range(max_rounds):
-        sa = status.select(F.col("seq").alias("a"), F.col("st").alias("sa"))
-        nb = live.join(sa, "a").groupBy("b").agg(
-            F.max((F.col("sa") == KEPT).cast("int")).alias("has_kept"),
+        ps = pre.join(status.filter(F.col("st") != DROPPED), "seq")
+        und = ps.filter(F.col("st") == UNDECIDED)
+        fr = und.withColumn("_r", F.row_number().over(Window.partitionBy("token").orderBy("seq"))) \
+            .filter(F.col("_r") <= front).select("seq", "n", "token")
+        complete = fr.groupBy("seq").agg(F.count(F.lit(1)).alias("_in")).join(plen, "seq") \
+            .select("seq", (F.col("_in") == F.col("plen")).alias("complete"))
+        b_und = und.select(F.col("seq").alias("b"), F.col("n").alias("nb"), "token")
+        a_new = ps.filter(F.col("st") == NEW_KEPT).select(F.col("seq").alias("a"), F.col("n").alias("na"), "token")
+        a_fr = fr.select(F.col("seq").alias("a"), F.col("n").alias("na"), "token")
+        b_fr = fr.select(F.col("seq").alias("b"), F.col("n").alias("nb"), "token")
+        kept_pairs = a_new.join(b_und, "token").filter((F.col("a") < F.col("b")) & len_ok).select("a", "b")
+        front_pairs = a_fr.join(b_fr, "token").filter((F.col("a") < F.col("b")) & len_ok).select("a", "b")
+        cand = kept_pairs.unionByName(front_pairs).distinct()
+        sa = sets.select(F.col("seq").alias("a"), F.col("toks").alias("ta"))
+        sb = sets.select(F.col("seq").alias("b"), F.col("toks").alias("tb"))
+        inter = F.size(F.array_intersect("ta", "tb"))
+        union = F.size(F.array_union("ta", "tb"))
+        sim = cand.join(sa, "a").join(sb, "b").filter(inter * den > union * num).select("a", "b")
+        sim = sim.join(status.select(F.col("seq").alias("a"), F.col("st").alias("sa")), "a")
+        nb = sim.groupBy(F.col("b").alias("seq")).agg(
+            F.max(F.col("sa").isin(KEPT, NEW_KEPT).cast("int")).alias("has_kept"),
             F.max((F.col("sa") == UNDECIDED).cast("int")).alias("has_open"))
-        new = status.join(nb, status["seq"] == nb["b"], "left").select(
-            "seq", F.when(F.col("st") != UNDECIDED, F.col("st"))
+        new = status.join(nb, "seq", "left").join(complete, "seq", "left").select(
+            "seq",
+            F.when(F.col("st") == NEW_KEPT, F.lit(KEPT))
+            .when(F.col("st") != UNDECIDED, F.col("st"))
             .when(F.coalesce(F.col("has_kept"), F.lit(0)) == 1, F.lit(DROPPED))
-            .when(F.coalesce(F.col("has_open"), F.lit(0)) == 1, F.lit(UNDECIDED))
-            .otherwise(F.lit(KEPT)).alias("st")).checkpoint(eager=True)
+            .when(F.coalesce(F.col("complete"), F.lit(False)) & (F.coalesce(F.col("has_open"), F.lit(0)) == 0),
+                  F.lit(NEW_KEPT))
+            .otherwise(F.lit(UNDECIDED)).alias("st")).checkpoint(eager=True)
         status = new
-        open_nodes = status.filter(F.col("st") == UNDECIDED).select(F.col("seq").alias("b"))
-        if open_nodes.isEmpty():
+        if status.filter(F.col("st") == UNDECIDED).isEmpty():
             break
-        # only edges into still-open rows from not-dropped rows matter later
-        not_dropped = status.filter(F.col("st") != DROPPED).select(F.col("seq").alias("a"))
-        live = live.join(open_nodes, "b", "left_semi").join(not_dropped, "a", "left_semi") \
-            .checkpoint(eager=True)
-    return status.select("seq", (F.col("st") == KEPT).alias("kept"))
+    return status.select("seq", F.col("st").isin(KEPT, NEW_KEPT).alias("kept"))
 
 
 def near_dup_keep(df: DataFrame, order_col: str = "seq", text_col: str = "text",
-                  threshold: float = 0.9) -> DataFrame:
+                  threshold: float = 0.9, front: int = 256) -> DataFrame:
     """``(order_col, kept)`` for every row of ``df``."""
     num, den = _fraction(threshold)
     sets = token_sets(df, order_col, text_col)
@@ -105,8 +130,7 @@ def near_dup_keep(df: DataFrame, order_col: str = "seq", text_col: str = "text",
     nonempty = sets.filter(F.col("n") > 0)
     reps = nonempty.groupBy("_key").agg(F.min_by(F.struct("seq", "toks", "n"), F.col("seq")).alias("r")) \
         .select("r.seq", "r.toks", "r.n").checkpoint(eager=True)
-    edges = candidate_edges(reps, num, den)
-    rep_status = resolve_greedy(reps.select("seq"), edges)
+    rep_status = resolve_front_rounds(reps, num, den, front)
     out = sets.select("seq").join(rep_status, "seq", "left") \
         .join(sets.filter(F.col("n") == 0).select("seq", F.lit(True).alias("_empty")), "seq", "left")
     kept = F.coalesce(F.col("_empty"), F.col("kept"), F.lit(False))

@@ -45,3 +45,17 @@ def test_documents_equal_sequential(spark):
     got = {r["doc_id"]: r["kept"] for r in near_dup_keep(df, "doc_id", "text", 0.9).collect()}
     assert got == sequential(rows, 0.9)
     assert sum(got.values()) < len(got)  # the fixture has near copies to remove
+
+
+def test_dense_near_copy_cluster_equals_sequential(spark):
+    import random
+    rnd = random.Random(5)
+    base = [f"b{i}" for i in range(40)]
+    rows = []
+    for i in range(1200):
+        if i % 3 == 0:   # near copies: base plus one own token (pairwise J = 40/42)
+            rows.append((i, " ".join(base + [f"u{i}"])))
+        else:
+            rows.append((i, " ".join(rnd.sample(base, 20) + [f"v{i}_{k}" for k in range(rnd.randint(0, 6))])))
+    assert run(spark, rows, 0.9) == sequential(rows, 0.9)
+    assert run(spark, rows, 0.6) == sequential(rows, 0.6)
