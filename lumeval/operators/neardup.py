@@ -49,6 +49,9 @@ def token_sets(df: DataFrame, order_col: str, text_col: str) -> DataFrame:
         .withColumn("n", F.size("toks"))
 
 
+LAST_ROUNDS = 0  # rounds used by the last resolution (diagnostics)
+
+
 def prefix_rows(reps: DataFrame, num: int, den: int) -> DataFrame:
     """``(seq, n, token)`` for the prefix tokens of every set (rarest first)."""
     freq = reps.select(F.explode("toks").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
@@ -82,8 +85,12 @@ def resolve_front_rounds(reps: DataFrame, num: int, den: int, front: int = 256,
     sets = reps.select("seq", "toks")
     status = reps.select("seq", F.lit(UNDECIDED).alias("st")).checkpoint(eager=True)
     len_ok = ((F.col("nb") * den >= F.col("na") * num) & (F.col("na") * den >= F.col("nb") * num))
+    global LAST_ROUNDS
+    LAST_ROUNDS = 0
     for _ in range(max_rounds):
-        ps = pre.join(status.filter(F.col("st") != DROPPED), "seq")
+        LAST_ROUNDS += 1
+        # only undecided rows and rows kept in the previous round take part
+        ps = pre.join(status.filter(F.col("st").isin(UNDECIDED, NEW_KEPT)), "seq")
         und = ps.filter(F.col("st") == UNDECIDED)
         fr = und.withColumn("_r", F.row_number().over(Window.partitionBy("token").orderBy("seq"))) \
             .filter(F.col("_r") <= front).select("seq", "n", "token")
