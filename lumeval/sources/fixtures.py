@@ -431,7 +431,8 @@ token_embeddings AS (
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "events")
-    return e.select(F.col("user_id").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"),
+    # ts stays TIMESTAMP_NTZ: period arithmetic must not depend on the session time zone
+    return e.select(F.col("user_id").alias("symbol"), F.col("ts"),
                     F.col("value").alias("close"))
 
 
