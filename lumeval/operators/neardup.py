@@ -36,6 +36,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tok
+from .joins import broadcast_if_small
+
+VOCAB_BROADCAST_ROWS = 2_000_000
 
 
 def _fraction(threshold: float) -> tuple[int, int]:
@@ -55,7 +58,10 @@ LAST_ROUNDS = 0  # rounds used by the last resolution (diagnostics)
 def prefix_rows(reps: DataFrame, num: int, den: int) -> DataFrame:
     """``(seq, n, token)`` for the prefix tokens of every set (rarest first)."""
     freq = reps.select(F.explode("toks").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    long = reps.select("seq", "n", F.explode("toks").alias("token")).join(freq, "token")
+    # the vocabulary grows far slower than the text: broadcast it while a
+    # bounded count proves it small, else shuffle-join on the token
+    long = reps.select("seq", "n", F.explode("toks").alias("token")) \
+        .join(broadcast_if_small(freq, VOCAB_BROADCAST_ROWS), "token")
     plen = F.col("n") - F.floor((F.col("n") * num + (den - 1)) / den) + 1
     w = Window.partitionBy("seq").orderBy("df", "token")
     return long.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= plen) \
@@ -112,7 +118,7 @@ def resolve_front_rounds(reps: DataFrame, num: int, den: int, front: int = 256,
         nb = sim.groupBy(F.col("b").alias("seq")).agg(
             F.max(F.col("sa").isin(KEPT, NEW_KEPT).cast("int")).alias("has_kept"),
             F.max((F.col("sa") == UNDECIDED).cast("int")).alias("has_open"))
-        new = status.join(nb, "seq", "left").join(complete, "seq", "left").select(
+        st1 = status.join(nb, "seq", "left").join(complete, "seq", "left").select(
             "seq",
             F.when(F.col("st") == NEW_KEPT, F.lit(KEPT))
             .when(F.col("st") != UNDECIDED, F.col("st"))
@@ -120,7 +126,14 @@ def resolve_front_rounds(reps: DataFrame, num: int, den: int, front: int = 256,
             .when(F.coalesce(F.col("complete"), F.lit(False)) & (F.coalesce(F.col("has_open"), F.lit(0)) == 0),
                   F.lit(NEW_KEPT))
             .otherwise(F.lit(UNDECIDED)).alias("st")).checkpoint(eager=True)
-        status = new
+        # same-round propagation: a row similar to a row kept in this round is
+        # dropped now instead of one round later
+        now_kept = st1.filter(F.col("st") == NEW_KEPT).select(F.col("seq").alias("a"))
+        hit = sim.join(now_kept, "a").select(F.col("b").alias("seq")).distinct() \
+            .withColumn("_hit", F.lit(True))
+        status = st1.join(hit, "seq", "left").select(
+            "seq", F.when(F.col("_hit") & (F.col("st") == UNDECIDED), F.lit(DROPPED))
+            .otherwise(F.col("st")).alias("st")).checkpoint(eager=True)
         if status.filter(F.col("st") == UNDECIDED).isEmpty():
             break
     return status.select("seq", F.col("st").isin(KEPT, NEW_KEPT).alias("kept"))
