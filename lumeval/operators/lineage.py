@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .joins import broadcast_if_small
 
 
@@ -19,6 +20,7 @@ def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent",
               max_rounds: int = 10_000) -> DataFrame:
     """``(node, ancestor, depth)`` for every ancestor of every node,
     depth = shortest path length."""
+    ensure_checkpoint_dir(edges.sparkSession)
     e = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).distinct().checkpoint(eager=True)
     forest = e.groupBy("_c").count().filter(F.col("count") > 1).isEmpty()
     return _forest_ancestors(e, max_rounds) if forest else _dag_ancestors(e, max_rounds)

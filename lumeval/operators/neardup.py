@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tok
+from ..session import ensure_checkpoint_dir
 from .joins import broadcast_if_small
 
 VOCAB_BROADCAST_ROWS = 2_000_000
@@ -142,6 +143,7 @@ def resolve_front_rounds(reps: DataFrame, num: int, den: int, front: int = 256,
 def near_dup_keep(df: DataFrame, order_col: str = "seq", text_col: str = "text",
                   threshold: float = 0.9, front: int = 256) -> DataFrame:
     """``(order_col, kept)`` for every row of ``df``."""
+    ensure_checkpoint_dir(df.sparkSession)
     num, den = _fraction(threshold)
     sets = token_sets(df, order_col, text_col)
     if num >= den:  # Jaccard never exceeds 1: nothing is a duplicate
