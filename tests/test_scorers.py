@@ -129,3 +129,16 @@ def test_whitespace_class_equals_python(spark):
     text = "a" + "".join(ch + "b" for ch in ws)
     df = spark.createDataFrame([(text,)], "s string")
     assert df.select(tok(F.col("s")).alias("x")).first()["x"] == text.lower().split()
+
+
+def test_null_inputs_score_null_and_leave_means(spark):
+    from lumeval.operators.summary import leaderboard
+    from lumeval.operators.bleu import sentence_bleu
+    rows = [("v", "a b", "a b"), ("v", None, "a b"), ("v", "a c", None)]
+    df = spark.createDataFrame(rows, "variant string, reference string, output string")
+    s = S.evaluate(df, ["exact_match", "jaccard"], keep=["variant"])
+    got = s.collect()
+    assert [r["jaccard"]["jaccard"] for r in got] == [1.0, None, None]
+    lb = leaderboard(s, "variant", [("exact_match", "match.true_fraction"), ("jaccard", "jaccard.mean")]).first()
+    assert lb["exact_match_match_true_fraction"] == 1.0 and lb["jaccard_jaccard_mean"] == 1.0
+    assert df.select(sentence_bleu(F.col("reference"), F.col("output")).alias("b")).collect()[1]["b"] is None
