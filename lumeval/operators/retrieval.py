@@ -40,13 +40,20 @@ def _unit_rows(mat: np.ndarray) -> np.ndarray:
     return out
 
 
+def _best(parts: list, k: int, pos_col: str) -> pd.DataFrame:
+    """Top k rows per question by (score desc, corpus position asc)."""
+    cand = pd.concat(parts, ignore_index=True)
+    cand = cand.sort_values(["_q", "score", pos_col], ascending=[True, False, True], kind="stable")
+    return cand[cand.groupby("_q").cumcount() < k]
+
+
 def _local_topk(bc, k: int, exclude_self: bool, id_col: str, pos_col: str, vec_col: str,
                 carry: list[str]):
     def run(batches):
         q_ids, q_unit = bc.value
         q_index = pd.Index(q_ids)
         nq = len(q_ids)
-        acc = []
+        acc, pending = [], 0
         for pdf in batches:
             if len(pdf) == 0 or nq == 0:
                 continue
@@ -70,11 +77,12 @@ def _local_topk(bc, k: int, exclude_self: bool, id_col: str, pos_col: str, vec_c
                 acc.append(pd.concat([part.reset_index(drop=True),
                                       pdf.iloc[r][[id_col, pos_col, *carry]].reset_index(drop=True)],
                                      axis=1))
+                pending += len(part)
+            if pending > 4 * k * nq:  # keep the partition's buffer at O(k x questions)
+                acc, pending = [_best(acc, k, pos_col)], k * nq
         if not acc:
             return
-        cand = pd.concat(acc, ignore_index=True)
-        cand = cand.sort_values(["_q", "score", pos_col], ascending=[True, False, True], kind="stable")
-        cand = cand[cand.groupby("_q").cumcount() < k]
+        cand = _best(acc, k, pos_col)
         out = pd.DataFrame({"q": q_ids[cand["_q"].to_numpy()], "chunk_id": cand[id_col].to_numpy(),
                             "pos": cand[pos_col].to_numpy(), "score": cand["score"].to_numpy()})
         for c_ in carry:
