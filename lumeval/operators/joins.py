@@ -16,7 +16,7 @@ def broadcast_if_small(small: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> Da
     return F.broadcast(small) if n <= max_rows else small
 
 
-def ensure_parallelism(df: DataFrame, key: str | None = None, factor: int = 2) -> DataFrame:
+def ensure_parallelism(df: DataFrame, key: str | None = None, factor: int = 4) -> DataFrame:
     """Spread a CPU-heavy row-local stage over the cluster.
 
     A small input file is one scan partition, and byte-based coalescing can
