@@ -102,3 +102,32 @@ def metric_summary(metrics: DataFrame, run: str = "run", step: str = "step", met
     return metrics.groupBy(run, metric).agg(
         F.max_by(value, step).alias("last_value"), F.min(value).alias("min_value"),
         F.max(value).alias("max_value"), F.count(F.lit(1)).alias("n_steps"), F.max(step).alias("last_step"))
+
+
+def descendants(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
+    """J4, other direction: ``(node, descendant, depth)``."""
+    a = ancestors(edges, child, parent)
+    return a.select(F.col("ancestor").alias("node"), F.col("node").alias("descendant"), "depth")
+
+
+def ancestors_of(edges: DataFrame, nodes: DataFrame, node_col: str = "node", child: str = "child",
+                 parent: str = "parent", max_rounds: int = 10_000) -> DataFrame:
+    """Ancestors of requested artifacts only: the frontier starts from
+    ``nodes``, so the work follows their lineage, not the whole graph."""
+    ensure_checkpoint_dir(edges.sparkSession)
+    e = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).distinct()
+    start = nodes.select(F.col(node_col).alias("node")).distinct()
+    frontier = start.join(e, start["node"] == e["_c"]).select(
+        "node", F.col("_p").alias("ancestor"), F.lit(1).alias("depth")).checkpoint(eager=True)
+    found, seen = [frontier], frontier.select("node", "ancestor")
+    for _ in range(max_rounds):
+        if frontier.isEmpty():
+            break
+        nxt = frontier.join(e, frontier["ancestor"] == e["_c"]).select(
+            "node", F.col("_p").alias("ancestor"), (F.col("depth") + 1).alias("depth"))
+        nxt = nxt.groupBy("node", "ancestor").agg(F.min("depth").alias("depth")) \
+            .join(seen, ["node", "ancestor"], "left_anti").checkpoint(eager=True)
+        found.append(nxt)
+        seen = seen.unionByName(nxt.select("node", "ancestor"))
+        frontier = nxt
+    return _union(found)

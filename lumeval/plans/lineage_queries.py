@@ -34,6 +34,20 @@ SELECT node, ancestor, min(depth) AS depth FROM anc GROUP BY node, ancestor
 
 
 
+def lineage_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every descendant of every artifact with its depth."""
+    return L.descendants(X.dag_edges(spark, sf_dir))
+
+
+LINEAGE_DESCENDANTS_SQL = "WITH RECURSIVE " + X.DAG_EDGES_SQL.strip() + """,
+anc(node, ancestor, depth) AS (
+  SELECT child, parent, 1 FROM dag_edges
+  UNION ALL
+  SELECT a.node, e.parent, a.depth + 1 FROM anc a JOIN dag_edges e ON e.child = a.ancestor)
+SELECT ancestor AS node, node AS descendant, min(depth) AS depth FROM anc GROUP BY node, ancestor
+"""
+
+
 def latest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest version per artifact name."""
     return L.latest_versions(X.artifact_versions(spark, sf_dir))

@@ -70,6 +70,7 @@ QUERIES = {
     "benchmark_leaderboard": mq.benchmark_leaderboard,
     "dedup_near": cq.dedup_near,
     "guardrail_stream": gq.guardrail_stream,
+    "lineage_descendants": lq.lineage_descendants,
 }
 
 ORACLE_SQL = {
@@ -128,4 +129,5 @@ ORACLE_SQL = {
     "bleu_sentence": mq.BLEU_SENTENCE_SQL,
     "bertscore": mq.BERTSCORE_SQL,
     "guardrail_stream": gq.GUARDRAIL_STREAM_SQL,
+    "lineage_descendants": lq.LINEAGE_DESCENDANTS_SQL,
 }

@@ -50,3 +50,13 @@ def test_pointer_doubling_equals_breadth_first(spark):
     a = sorted(_forest_ancestors(e, 1000).collect())
     b = sorted(_dag_ancestors(e, 1000).collect())
     assert a == b and len(a) > 0
+
+
+def test_ancestors_of_requested_nodes(spark):
+    from lumeval.operators.lineage import ancestors, ancestors_of
+    rows = [(k, k // 2) for k in range(1, 200)]
+    e = spark.createDataFrame(rows, "child long, parent long")
+    want = spark.createDataFrame([(150,), (7,)], "node long")
+    got = sorted(ancestors_of(e, want).collect())
+    full = sorted(r for r in ancestors(e).collect() if r["node"] in (150, 7))
+    assert got == full
