@@ -26,3 +26,19 @@ def test_blocked_rows_have_no_later_scores(spark):
     assert blocked_input.filter("scores.toxicity IS NOT NULL OR scores.policy IS NOT NULL "
                                 "OR scores.quality IS NOT NULL").isEmpty()
     assert g.filter("blocked AND scores.policy IS NOT NULL").isEmpty()
+
+
+def test_stream_restart_processes_only_new_files(spark, scratch):
+    req = X.requests(spark, SF_SMALL)
+    first, second = req.randomSplit([0.5, 0.5], seed=7)
+    first.write.parquet(f"{scratch}/in/part=1")
+    q = run_to_sink(guard_stream(spark, f"{scratch}/in"), f"{scratch}/out", f"{scratch}/ckpt")
+    q.awaitTermination(300)
+    n1 = spark.read.parquet(f"{scratch}/out").count()
+    second.write.parquet(f"{scratch}/in/part=2")
+    q = run_to_sink(guard_stream(spark, f"{scratch}/in"), f"{scratch}/out", f"{scratch}/ckpt")
+    q.awaitTermination(300)
+    out = spark.read.parquet(f"{scratch}/out")
+    assert n1 == first.count()
+    assert out.count() == req.count()
+    assert out.select("request_id").distinct().count() == req.count()
