@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .joins import broadcast_if_small
+
 DEFAULT_MAX_BATCH_BYTES = 256 * 1024 * 1024
 BLOCK_ENTRIES = 4 * 1024 * 1024  # (chunks x questions) per NumPy block, 32 MiB
 
@@ -48,9 +50,9 @@ def _best(parts: list, k: int, pos_col: str) -> pd.DataFrame:
 
 
 def _local_topk(bc, k: int, exclude_self: bool, id_col: str, pos_col: str, vec_col: str,
-                carry: list[str]):
+                carry: list[str], q_carry: list[str]):
     def run(batches):
-        q_ids, q_unit = bc.value
+        q_ids, q_unit, q_extra = bc.value
         q_index = pd.Index(q_ids)
         nq = len(q_ids)
         acc, pending = [], 0
@@ -87,6 +89,9 @@ def _local_topk(bc, k: int, exclude_self: bool, id_col: str, pos_col: str, vec_c
                             "pos": cand[pos_col].to_numpy(), "score": cand["score"].to_numpy()})
         for c_ in carry:
             out[c_] = cand[c_].to_numpy()
+        qi = cand["_q"].to_numpy()
+        for c_ in q_carry:
+            out[f"q_{c_}"] = q_extra[c_][qi]
         yield out
     return run
 
@@ -94,22 +99,27 @@ def _local_topk(bc, k: int, exclude_self: bool, id_col: str, pos_col: str, vec_c
 def top_k_cosine(queries: DataFrame, corpus: DataFrame, k: int = 2, *, q_col: str = "q",
                  q_vec: str = "embedding", c_id: str = "chunk_id", c_pos: str = "pos",
                  c_vec: str = "embedding", carry: tuple[str, ...] = (),
-                 exclude_self: bool = False, max_batch_bytes: int | None = None) -> DataFrame:
-    """Top-k chunks per question by cosine, ``(q, rank, chunk_id, pos, score, *carry)``."""
+                 q_carry: tuple[str, ...] = (), exclude_self: bool = False,
+                 max_batch_bytes: int | None = None) -> DataFrame:
+    """Top-k chunks per question by cosine,
+    ``(q, rank, chunk_id, pos, score, *carry, *q_<q_carry>)``: ``carry`` are
+    corpus columns, ``q_carry`` question columns shipped with the batch."""
     spark = queries.sparkSession
     if max_batch_bytes is None:
         max_batch_bytes = int(spark.conf.get("lumeval.retrieval.maxBatchBytes",
                                              str(DEFAULT_MAX_BATCH_BYTES)))
-    qdf = queries.select(F.col(q_col).cast("long").alias("_qid"), F.col(q_vec).alias("_qvec"))
+    q_carry = list(q_carry)
+    qdf = queries.select(F.col(q_col).cast("long").alias("_qid"), F.col(q_vec).alias("_qvec"), *q_carry)
     stats = qdf.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_qvec")).alias("d")).first()
     n_q, dim = int(stats["n"] or 0), int(stats["d"] or 0)
     n_batches = max(1, math.ceil(n_q * (dim * 8 + 16) / max_batch_bytes))
     carry = list(carry)
     cschema = corpus.select(*carry).schema if carry else T.StructType([])
+    qschema = queries.select(*q_carry).schema if q_carry else T.StructType([])
     schema = T.StructType([
         T.StructField("q", T.LongType()), T.StructField("chunk_id", T.LongType()),
         T.StructField("pos", T.LongType()), T.StructField("score", T.DoubleType()),
-        *cschema.fields])
+        *cschema.fields, *[T.StructField(f"q_{f.name}", f.dataType) for f in qschema.fields]])
     cin = corpus.select(F.col(c_id).cast("long").alias(c_id), F.col(c_pos).cast("long").alias(c_pos),
                         F.col(c_vec).alias(c_vec), *carry)
     parts = []
@@ -120,8 +130,10 @@ def top_k_cosine(queries: DataFrame, corpus: DataFrame, k: int = 2, *, q_col: st
             continue
         ids = pdf["_qid"].to_numpy(dtype=np.int64)
         mat = _unit_rows(np.stack(pdf["_qvec"].to_numpy()).astype(np.float64))
-        bc = spark.sparkContext.broadcast((ids, mat))
-        parts.append(cin.mapInPandas(_local_topk(bc, k, exclude_self, c_id, c_pos, c_vec, carry), schema))
+        extra = {c_: pdf[c_].to_numpy() for c_ in q_carry}
+        bc = spark.sparkContext.broadcast((ids, mat, extra))
+        parts.append(cin.mapInPandas(_local_topk(bc, k, exclude_self, c_id, c_pos, c_vec, carry, q_carry),
+                                     schema))
     if not parts:
         return spark.createDataFrame([], schema.add("rank", T.IntegerType()))
     cand = reduce(lambda a, b: a.unionByName(b), parts)
@@ -144,12 +156,15 @@ def retrieval_scores(hits: DataFrame, queries: DataFrame, relevant_counts: DataF
              .filter(F.col("rank") <= F.col("k"))
     else:
         h = h.withColumn("k", F.lit(None).cast("int"))
-    ql = queries.select(F.col("q"), F.col(q_label).alias("_ql"))
-    agg = h.join(ql, "q").groupBy("k", "q").agg(
+    if f"q_{q_label}" in h.columns:  # the question label came with the hits
+        h = h.withColumn("_ql", F.col(f"q_{q_label}"))
+    else:
+        h = h.join(queries.select(F.col("q"), F.col(q_label).alias("_ql")), "q")
+    agg = h.groupBy("k", "q", "_ql").agg(
         F.count(F.lit(1)).alias("n_retrieved"),  # chunk ids are distinct per question
         F.sum(F.when(F.col(c_label) == F.col("_ql"), 1).otherwise(0)).alias("n_hit"))
-    base = ql.join(relevant_counts, "_ql", "left")
-    out = agg.join(base, "q")
+    # one row per label: broadcast behind a size check
+    out = agg.join(broadcast_if_small(relevant_counts), "_ql", "left")
     n_rel = F.coalesce(F.col("n_relevant"), F.lit(0))
     return out.select(
         "k", "q",

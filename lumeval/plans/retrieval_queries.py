@@ -15,7 +15,7 @@ TOP_K = 2
 
 def _hits(spark, sf_dir, k):
     return R.top_k_cosine(X.rag_queries(spark, sf_dir), X.rag_corpus(spark, sf_dir), k,
-                          carry=("label",), exclude_self=True)
+                          carry=("label",), q_carry=("label",), exclude_self=True)
 
 
 def _relevant_counts(spark, sf_dir):
