@@ -39,7 +39,7 @@ from ..functions.text import tok
 from ..session import ensure_checkpoint_dir
 from .joins import broadcast_if_small
 
-VOCAB_BROADCAST_ROWS = 2_000_000
+VOCAB_BROADCAST_ROWS = 1_000_000  # (token, count) rows: tens of MB at most
 
 
 def _fraction(threshold: float) -> tuple[int, int]:
@@ -88,7 +88,7 @@ def resolve_front_rounds(reps: DataFrame, num: int, den: int, front: int = 256,
     """
     UNDECIDED, KEPT, NEW_KEPT, DROPPED = 0, 1, 2, 3
     pre = prefix_rows(reps, num, den).checkpoint(eager=True)
-    plen = pre.groupBy("seq").agg(F.count(F.lit(1)).alias("plen"))
+    plen = pre.groupBy("seq").agg(F.count(F.lit(1)).alias("plen")).checkpoint(eager=True)
     sets = reps.select("seq", "toks")
     status = reps.select("seq", F.lit(UNDECIDED).alias("st")).checkpoint(eager=True)
     len_ok = ((F.col("nb") * den >= F.col("na") * num) & (F.col("na") * den >= F.col("nb") * num))
