@@ -3,8 +3,8 @@
 1. ``shingle_sets``: each text's set of 4-word shingles as sorted 64-bit hashes.  Rows with the
    same set form one class, named by a 64-bit digest of the set.
 2. Families: a pair with Jaccard >= t differs in at most d elements, d given by its sizes.
-   The hash range is cut into d + 1 + SPARE parts, so a linking pair agrees on SPARE + 1 whole
-   parts at least, and on one non-empty part if a set has at most SPARE empty parts (sets
+   The hash range is cut into d + 1 + s parts, so a linking pair agrees on s + 1 whole
+   parts at least, and on one non-empty part if a set has at most s empty parts (sets
    with more also publish their empty parts).  Classes that publish an equal part are joined into a family; this loses no
    pair and shared passages, being a few elements of a part, hardly ever join families.
 3. Families are cut into blocks and each pair of blocks is one search: an inverted index over one
@@ -31,7 +31,7 @@ from .common import LOWER, Workspace, batches, connected, mix64, span_hash, text
 NUM, DEN = 85, 100  # link when DEN * intersection >= NUM * union
 WORDS = 4
 SPARE = 2
-BLOCK_MIN, BLOCK_MAX, BLOCKS = 64, 2048, 32
+BLOCK = 2048  # classes of one block of a family
 SIGN = np.uint64(1 << 63)
 
 
@@ -95,7 +95,9 @@ def parts_of(tokens: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
         for shift in (0, 1):  # as the larger set of a pair, and as the smaller one of the next class
             c = np.where(n > 0, cls + shift, 0)
             largest = BOUNDS[c + 1] - 1
-            parts = 6 * largest // 37 + 1 + SPARE  # symmetric difference <= 3/37 of both sizes' sum, for 85/100
+            apart = 6 * largest // 37  # symmetric difference <= 3/37 of both sizes' sum, for 85/100
+            spare = SPARE + apart // 40  # many more than the parts that chance leaves empty
+            parts = apart + 1 + spare
             slot = (high * parts[owner]) >> 32
             base = np.concatenate([[0], np.cumsum(np.where(n > 0, parts, 0))])
             place = base[:-1][owner] + slot
@@ -106,7 +108,7 @@ def parts_of(tokens: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
             k = np.arange(len(row)) - base[:-1][row]
             sig = mix64(total + mix64((c[row].astype(np.uint64) << np.uint64(40)) + k.astype(np.uint64) + np.uint64(1)))
             empties = np.bincount(row, count == 0, minlength=len(n))
-            use = (count > 0) | (empties[row] > SPARE)
+            use = (count > 0) | (empties > spare)[row]
             out_sig.append(sig[use])
             out_row.append(row[use])
     return np.concatenate(out_sig).astype(np.int64), np.concatenate(out_row)
@@ -302,9 +304,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
              .groupBy("cls").agg(F.min("doc_id").alias("doc_id")))
     first = ws.save(first.select("doc_id").distinct(), "first")
     rep = docs.join(first.withColumnRenamed("doc_id", "__first"), F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi")
-    block = F.greatest(F.lit(BLOCK_MIN), F.least(F.lit(BLOCK_MAX), F.ceil(F.col("g") / BLOCKS)))
     tiles = (_token_rows(rep).join(family.select(F.col("id").alias("cls"), "component", "g"), "cls")
-             .withColumn("nb", F.ceil(F.col("g") / block).cast("int"))
+             .withColumn("nb", F.ceil(F.col("g") / BLOCK).cast("int"))
              .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
              .select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
