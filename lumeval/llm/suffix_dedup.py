@@ -37,7 +37,7 @@ from .common import BASE, Workspace, batches, mix64, span_hash, text_bytes
 
 LENGTH = 200
 GRAM = 32
-GROUP_PIECES = 256  # distinct pieces of one anchor that may meet in one group
+GROUP_PIECES = 8192  # distinct pieces of one anchor that may meet in one group
 CHUNK_BYTES = 1 << 20
 RUN = 8
 
@@ -98,7 +98,9 @@ def suffix_classes(text: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray
     new = np.ones(n, bool)
     new[1:] = sorted_key[1:] != sorted_key[:-1]
     start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    rank = np.empty(n, np.int64)
+    del key, sorted_key, wide
+    order, start = order.astype(np.int32), start.astype(np.int32)
+    rank = np.empty(n, np.int32)
     rank[order] = start
     have = 7
     while have < width:
@@ -107,14 +109,14 @@ def suffix_classes(text: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray
             break
         who = order[tied]
         two = rank[(who + have) % n]
-        key = start[tied] * np.int64(n) + two
+        key = start[tied].astype(np.int64) * n + two
         by = np.argsort(key, kind="stable")
         order[tied] = who[by]
         key = key[by]
         fresh = np.ones(len(tied), bool)
         fresh[1:] = key[1:] != key[:-1]
         new[tied] = fresh
-        start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        start = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), 0))
         rank[order] = start
         have *= 2
     return order, rank
@@ -125,7 +127,7 @@ def repeated_starts(pieces: list[np.ndarray], weights: np.ndarray, length: int =
     sizes = np.array([len(p) for p in pieces])
     off = np.concatenate([[0], np.cumsum(sizes + 1)])
     n = int(off[-1])
-    text = np.zeros(n, np.int64)  # 0 separates the pieces
+    text = np.zeros(n, np.int16)  # 0 separates the pieces
     for p, o in zip(pieces, off):
         text[o:o + len(p)] = p
         text[o:o + len(p)] += 1
@@ -133,17 +135,16 @@ def repeated_starts(pieces: list[np.ndarray], weights: np.ndarray, length: int =
     last = np.ones(n, bool)  # last position of each class of suffixes
     in_order = rank[order]
     last[:-1] = in_order[1:] != in_order[:-1]
-    ends = np.flatnonzero(last)
-    class_end = ends[np.searchsorted(ends, np.arange(n))]
+    class_end = np.minimum.accumulate(np.where(last, np.arange(n, dtype=np.int32), n)[::-1])[::-1]
     before = order - 1  # cyclic
     bwt = text[before]
     to_first = rank[before]          # LF: start of the class of the preceding suffix
     to_last = class_end[to_first]
-    by = np.argsort(bwt, kind="stable")
-    following = np.full(n, n)
+    by = np.argsort(bwt, kind="stable").astype(np.int32)
+    following = np.full(n, n, np.int32)
     same = bwt[by[1:]] == bwt[by[:-1]]
     following[by[:-1][same]] = by[1:][same]
-    preceding = np.full(n, -1)
+    preceding = np.full(n, -1, np.int32)
     preceding[by[1:][same]] = by[:-1][same]
     defined = np.zeros(n + 1, bool)  # boundary between suffixes i - 1 and i: a common prefix below ``length``
     defined[0] = defined[n] = True
