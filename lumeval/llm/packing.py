@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from .common import Workspace, batches
 from .tokens import WordIds
@@ -162,7 +163,7 @@ def pack(spark: SparkSession, docs: DataFrame, keep: list[str] = ("doc_id",), to
         schema = schema.add(name, "long")
     schema = schema.add("partial", "boolean")
     if with_ids:
-        schema = schema.add("ids", "array<int>")
+        schema = schema.add("ids", ArrayType(IntegerType()))
     pieces = ws.save(src.mapInArrow(_pack(keep, tokenizer, with_ids), schema), "pieces")
     # one partial window per partition; rounds of FAN partitions merge what is left
     left = ws.save(pieces.filter("partial").groupBy("window").agg(F.sum("length").alias("used")), "left_0")

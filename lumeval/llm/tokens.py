@@ -77,10 +77,9 @@ class WordIds:
                 got = self._raw(w).tobytes()
             self.memory[w] = got
 
-    def ids(self, text: str | None) -> bytes:
+    def by_word(self, text: str | None) -> list[bytes]:
+        """Ids of each word of a text."""
         words = words_of(text) if text else []
-        if "<|" in (text or ""):  # names of special tokens stand for their ids, whatever surrounds them
-            return self._raw(text).tobytes()
         found = list(map(self.memory.get, words))
         if None in found:
             unknown = list(dict.fromkeys(w for w, f in zip(words, found) if f is None))
@@ -89,4 +88,9 @@ class WordIds:
                 self._unknown(part)
                 at = dict(zip(part, map(self.memory.__getitem__, part)))
                 found = [at.get(w) if f is None else f for w, f in zip(words, found)]
-        return b"".join(found)
+        return found
+
+    def ids(self, text: str | None) -> bytes:
+        if text and "<|" in text:  # names of special tokens stand for their ids, whatever surrounds them
+            return self._raw(text).tobytes()
+        return b"".join(self.by_word(text))
