@@ -393,7 +393,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, keep: list[str] = ("doc
     """``keep`` columns, n_bytes, n_removed, n_spans, kept_sha256 (and kept_text) of every row of ``docs``."""
     ws = Workspace(spark, "suffix_dedup")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keep = list(keep)
+    keep = [c for c in keep if c != "text"]
     keyed = docs.select(*keep, F.col("text"), F.xxhash64("text").alias("tkey")).withColumn(
         "rkey", F.xxhash64("doc_id", "tkey") if "doc_id" in keep else F.col("tkey"))
     pieces = ws.save(_piece_rows(keyed), "pieces")
