@@ -178,7 +178,7 @@ def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return out
 
 
-def batches(reader, column: str, limit: int = 4 << 20):
+def batches(reader, column: str, limit: int = 1 << 20):
     """Arrow batches cut so that the text of one is about ``limit`` bytes (one row at least)."""
     for batch in reader:
         if batch.num_rows == 0:

@@ -17,18 +17,19 @@ never read.  Without any trusted row every non-empty text is kept.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, batches, shard_of, shards_for
+from .common import Workspace, batches
 
 ORDER = 4
 QUANTILE = 0.99
 SLACK = 1.3
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 16 << 20  # text of a shard, whose distinct n-grams are looked up once
+HELD_GRAMS = 400_000      # distinct n-grams that a task adds up before it passes them on
 START, END = 0x02, 0x03
 MASK21 = (1 << 21) - 1
 
@@ -61,25 +62,91 @@ def _unique(hi: np.ndarray, lo: np.ndarray):
     return h[new], l[new], inverse
 
 
-def _counts(df: DataFrame, text: str, group: str, extra: list[str] = ()) -> DataFrame:
-    """(group, extra..., hi, lo, c): 4-gram counts, added up within each Arrow batch."""
-    src = df.select(F.col(group).alias("g"), *[F.col(c) for c in extra], F.col(text).alias("__t"))
-    schema = src.drop("__t").schema.add("hi", "long").add("lo", "long").add("c", "long")
+class _Tally:
+    """Sorted 4-gram counts of one group, added to text by text."""
 
+    def __init__(self):
+        self.h = self.l = self.c = np.zeros(0, np.int64)
+
+    def add(self, texts: list[str]) -> None:
+        hi, lo, _ = _grams(texts)
+        h, l, inv = _unique(hi, lo)
+        c = np.bincount(inv).astype(np.int64)
+        self.h, self.l, inv = _unique(np.concatenate([self.h, h]), np.concatenate([self.l, l]))
+        self.c = np.bincount(inv, np.concatenate([self.c, c])).astype(np.int64)
+
+
+def _tallied(parts, names: list[str], types: list):
+    """``parts``: (key, texts) pairs -> batches (key.., hi, lo, c), one for each key unless it grows large."""
+    held: dict[tuple, _Tally] = {}
+
+    def give(key):
+        t = held.pop(key)
+        cols = [pa.array([k] * len(t.h), kind) for k, kind in zip(key, types)]
+        return pa.RecordBatch.from_arrays([*cols, pa.array(t.h), pa.array(t.l), pa.array(t.c)],
+                                          names=[*names, "hi", "lo", "c"])
+    last = None
+    for key, texts in parts:
+        if last is not None and key[:-1] != last:  # a shard's texts stand together
+            for k in list(held):
+                yield give(k)
+        last = key[:-1]
+        held.setdefault(key, _Tally()).add(texts)
+        if len(held[key].h) > HELD_GRAMS:
+            yield give(key)
+    for k in list(held):
+        yield give(k)
+
+
+def _by_group(langs, texts):
+    groups: dict = {}
+    for g, t in zip(langs, texts):
+        groups.setdefault(g, []).append(t or "")
+    return groups.items()
+
+
+def _trusted_counts(df: DataFrame) -> DataFrame:
+    """(g, t) -> (g, hi, lo, c), added up within each task."""
     def run(it):
-        for batch in batches(it, "__t", 8 << 20):
-            frame = batch.to_pandas()
-            keys = ["g", *extra]
-            for key, part in frame.groupby(keys, dropna=False, sort=False):
-                hi, lo, _ = _grams([t or "" for t in part["__t"]])
-                h, l, inv = _unique(hi, lo)
-                cols = [pa.array([None if pd.isna(k) else k] * len(h), batch.schema.field(c).type)
-                        for k, c in zip(key, keys)]
-                yield pa.RecordBatch.from_arrays(
-                    [*cols, pa.array(h), pa.array(l), pa.array(np.bincount(inv).astype(np.int64))],
-                    names=[*keys, "hi", "lo", "c"])
+        parts = (((g,), texts) for batch in batches(it, "t")
+                 for g, texts in _by_group(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        yield from _tallied(parts, ["g"], [pa.string()])
+    return df.mapInArrow(run, "g string, hi long, lo long, c long")
 
-    return src.mapInArrow(run, schema)
+
+def _blocks(df: DataFrame) -> DataFrame:
+    """Rows as compressed blocks (shard, block) of about 1 MiB of text; a shard is a run of blocks of one task."""
+    def run(it):
+        part, size = TaskContext.get().partitionId(), 0
+        z = zstandard.ZstdCompressor(level=6)
+        for batch in batches(it, "t"):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema) as writer:
+                writer.write_batch(batch)
+            raw = sink.getvalue().to_pybytes()
+            yield pa.RecordBatch.from_arrays([pa.array([(part << 24) | (size // SHARD_BYTES)], pa.int64()),
+                                              pa.array([z.compress(raw)], pa.binary())], names=["shard", "block"])
+            size += len(raw)
+    return df.mapInArrow(run, "shard long, block binary")
+
+
+def _open(block: bytes) -> pa.RecordBatch:
+    with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(block)) as reader:
+        return reader.read_all().combine_chunks().to_batches()[0]
+
+
+def _shard_grams(blocks: DataFrame) -> DataFrame:
+    """(shard, g, hi, lo, c) of every block, added up within a shard."""
+    def run(it):
+        def parts():
+            for batch in it:
+                for shard, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    rows = _open(block.as_py())
+                    for g, texts in _by_group(rows.column(rows.num_columns - 2).to_pylist(),
+                                              rows.column(rows.num_columns - 1).to_pylist()):
+                        yield (shard, g), texts
+        yield from _tallied(parts(), ["shard", "g"], [pa.int64(), pa.string()])
+    return blocks.mapInArrow(run, "shard long, g string, hi long, lo long, c long")
 
 
 def train(spark: SparkSession, ws: Workspace, trusted: DataFrame, text: str, lang: str) -> dict[str, DataFrame]:
@@ -89,7 +156,7 @@ def train(spark: SparkSession, ws: Workspace, trusted: DataFrame, text: str, lan
     order 1 (d), where hi holds code points a, b and lo holds c, d.
     """
     src = trusted.select(F.coalesce(lang, F.lit("")).alias("g"), F.col(text).alias("t"))
-    c4 = ws.save(_counts(src, "t", "g").groupBy("g", "hi", "lo").agg(F.sum("c").alias("c")), "c4")
+    c4 = ws.save(_trusted_counts(src).groupBy("g", "hi", "lo").agg(F.sum("c").alias("c")), "c4")
     b = F.col("hi").bitwiseAND(F.lit(MASK21)).alias("b")
     c3 = ws.save(c4.groupBy("g", b, "lo").agg(F.count("*").alias("c")), "c3")
     c2 = ws.save(c3.groupBy("g", "lo").agg(F.count("*").alias("c")), "c2")
@@ -160,13 +227,23 @@ def log_probs(model: dict[str, DataFrame], grams: DataFrame) -> DataFrame:
     return df.select("g", "hi", "lo", F.log10(F.coalesce("p4", F.coalesce("y4", F.lit(1.0)) * three)).alias("lp"))
 
 
-def _score(shards: DataFrame, n: int, keep: list[str]) -> DataFrame:
-    """Rows of both kinds, dealt by shard and sorted: first a shard's probabilities, then its texts."""
-    schema = shards.select(*keep).schema.add("n_grams", "long").add("log10_prob", "double")
+def _find(store, uh: np.ndarray, ul: np.ndarray) -> np.ndarray:
+    """Log probabilities of sorted pairs (uh, ul) among the stored ones, sorted too."""
+    h, l, lp = store
+    left, right = np.searchsorted(h, uh, "left"), np.searchsorted(h, uh, "right")
+    while True:
+        go = left < right
+        if not go.any():
+            return lp[left]
+        mid = (left + right) // 2
+        less = go & (l[np.minimum(mid, len(l) - 1)] < ul)
+        left, right = np.where(less, mid + 1, left), np.where(go & ~less, mid, right)
 
+
+def _score(keep: list[str]):
+    """Rows of both kinds, dealt by shard and sorted: first a shard's probabilities, then its blocks."""
     def run(it):
         current, store = None, {}
-        unzip = zstandard.ZstdDecompressor()
         for batch in it:
             col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
             shard, kind = col["shard"].to_numpy(False), col["kind"].to_numpy(False)
@@ -180,7 +257,7 @@ def _score(shards: DataFrame, n: int, keep: list[str]) -> DataFrame:
                     part = [col[c].slice(i, j - i) for c in ("g", "hi", "lo", "lp")]
                     langs = part[0].to_pandas().to_numpy()
                     h, l, lp = (p.to_numpy(False) for p in part[1:])
-                    for g in np.unique(langs):
+                    for g in set(langs):
                         m = langs == g
                         store.setdefault(g, []).append((h[m], l[m], lp[m]))
                     continue
@@ -189,43 +266,21 @@ def _score(shards: DataFrame, n: int, keep: list[str]) -> DataFrame:
                         h, l, lp = (np.concatenate([a[i] for a in v]) for i in range(3))
                         order = np.lexsort((l, h))
                         store[g] = (h[order], l[order], lp[order])
-                langs = col["g"].slice(i, j - i).to_pandas().to_numpy()
-                blobs = col["z"].slice(i, j - i).to_pylist()
-                texts = [unzip.decompress(b).decode("utf-8", "surrogatepass") if b else "" for b in blobs]
-                total, count = np.zeros(j - i), np.zeros(j - i, np.int64)
-                for g in np.unique(langs):
-                    rows = np.flatnonzero(langs == g)
-                    for at in range(0, len(rows), 512):
-                        some = rows[at:at + 512]
-                        hi, lo, owner = _grams([texts[r] for r in some])
+                for block in col["block"].slice(i, j - i):
+                    rows = _open(block.as_py())
+                    langs = np.array(rows.column(rows.num_columns - 2).to_pylist(), object)
+                    texts = rows.column(rows.num_columns - 1).to_pylist()
+                    total, count = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+                    for g in set(langs):
+                        some = np.flatnonzero(langs == g)
+                        hi, lo, owner = _grams([texts[r] or "" for r in some])
                         uh, ul, inv = _unique(hi, lo)
-                        h, l, lp = store[g]
-                        # both sides are sorted by (hi, lo): rank the wanted pairs among the stored ones
-                        left = np.searchsorted(h, uh, "left")
-                        right = np.searchsorted(h, uh, "right")
-                        while True:
-                            go = left < right
-                            mid = (left + right) // 2
-                            less = go & (l[np.minimum(mid, len(l) - 1)] < ul)
-                            left, right = np.where(less, mid + 1, left), np.where(go & ~less, mid, right)
-                            if not go.any():
-                                break
-                        total[some] = np.bincount(owner, lp[left][inv], len(some))
+                        total[some] = np.bincount(owner, _find(store[g], uh, ul)[inv], len(some))
                         count[some] = np.bincount(owner, minlength=len(some))
-                out = [col[c].slice(i, j - i) for c in keep]
-                yield pa.RecordBatch.from_arrays([*out, pa.array(count), pa.array(total)],
-                                                 names=[*keep, "n_grams", "log10_prob"])
-
-    return shards.mapInArrow(run, schema)
-
-
-def _zip(df: DataFrame, text: str) -> DataFrame:
-    """Texts compressed for the shuffle."""
-    @F.pandas_udf("binary")
-    def pack(s: pd.Series) -> pd.Series:
-        z = zstandard.ZstdCompressor(level=3)
-        return s.map(lambda t: z.compress(t.encode("utf-8", "surrogatepass")) if t else None)
-    return df.withColumn("z", pack(F.col(text))).drop(text)
+                    out = [rows.column(k) for k in range(rows.num_columns - 1)]
+                    yield pa.RecordBatch.from_arrays([*out, pa.array(count), pa.array(total)],
+                                                     names=[*keep, "g", "n_grams", "log10_prob"])
+    return run
 
 
 def perplexities(spark: SparkSession, docs: DataFrame, trusted: DataFrame, text: str = "text", lang: str = "lang",
@@ -236,24 +291,22 @@ def perplexities(spark: SparkSession, docs: DataFrame, trusted: DataFrame, text:
     """
     ws = Workspace(spark, "quality")
     model = train(spark, ws, trusted, text, lang)
-    n = shards_for(docs, text, SHARD_BYTES)
-    cols = [F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
-    src = docs.select(*cols, F.coalesce(lang, F.lit("")).alias("g"), F.col(text).alias("t"))
-    src = src.withColumn("shard", shard_of(n, "t", *[f"k{i}" for i in range(len(keep))]))
-    local = ws.save(_counts(src, "t", "g", ["shard"]).select("shard", "g", "hi", "lo").distinct(), "grams")
+    ks = [f"k{i}" for i in range(len(keep))]
+    src = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, ks)], F.coalesce(lang, F.lit("")).alias("g"),
+                      F.col(text).alias("t"))
+    blocks = ws.save(_blocks(src), "blocks")
+    local = ws.save(_shard_grams(blocks).select("shard", "g", "hi", "lo").distinct(), "grams")
     lps = ws.save(log_probs(model, local.select("g", "hi", "lo").distinct()), "log_probs")
     found = local.join(lps, ["g", "hi", "lo"])
-    texts = _zip(src, "t")
-    kinds = [f.dataType for f in texts.select(*[f"k{i}" for i in range(len(keep))]).schema]
-    left = found.select("shard", F.lit(0).alias("kind"), "g", "hi", "lo", "lp", F.lit(None).cast("binary").alias("z"),
-                        *[F.lit(None).cast(t).alias(f"k{i}") for i, t in enumerate(kinds)])
-    right = texts.select("shard", F.lit(1).alias("kind"), "g", F.lit(None).cast("long").alias("hi"),
-                         F.lit(None).cast("long").alias("lo"), F.lit(None).cast("double").alias("lp"), "z",
-                         *[f"k{i}" for i in range(len(keep))])
-    both = left.unionByName(right).repartition(n, "shard").sortWithinPartitions("shard", "kind")
-    ks = [f"k{i}" for i in range(len(keep))]
-    scored = ws.save(_score(both, n, [*ks, "g"]), "scored")
-    ws.drop("grams", "log_probs", "c4", "c3", "c2", "c1", *[f"{a}{k}" for a in ("stats", "seen") for k in (1, 2, 3, 4)])
+    left = found.select("shard", F.lit(0).alias("kind"), "g", "hi", "lo", "lp", F.lit(None).cast("binary").alias("block"))
+    right = blocks.select("shard", F.lit(1).alias("kind"), F.lit(None).cast("string").alias("g"),
+                          F.lit(None).cast("long").alias("hi"), F.lit(None).cast("long").alias("lo"),
+                          F.lit(None).cast("double").alias("lp"), "block")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    both = left.unionByName(right).repartition(parts, "shard").sortWithinPartitions("shard", "kind")
+    schema = src.select(*ks, "g").schema.add("n_grams", "long").add("log10_prob", "double")
+    scored = ws.save(both.mapInArrow(_score([*ks]), schema), "scored")
+    ws.drop("blocks", "grams", "log_probs", "c4", "c3", "c2", "c1", *[f"{a}{k}" for a in ("stats", "seen") for k in (1, 2, 3, 4)])
     empty = F.col("n_grams") <= 1
     return scored.select(
         *[F.col(k).alias(c) for k, c in zip(ks, keep)], F.col("g").alias("lang_group"), "n_grams",
