@@ -40,7 +40,7 @@ ATTR = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))",
 CONTAINERS = frozenset("body div section article main nav aside header footer form ul ol dl table thead tbody tr "
                        "figure blockquote details fieldset".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre hr figcaption address summary caption".split())
-PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption body div section article main".split())
+OUTSIDE = ("", "", False, False, False)
 NOISE_TAGS = frozenset("nav aside footer form dialog menu head".split())
 NOISE_WORDS = frozenset("ad ads advert adverts advertisement banner sponsored promo promotion cookie cookies consent notice "
                         "popup modal sidebar side menu nav navbar navigation breadcrumb breadcrumbs footer header masthead "
@@ -69,7 +69,7 @@ def _names(attrs: str) -> tuple[str, bool]:
 def blocks_of(page: str | None) -> list[Block]:
     """Blocks of text in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # (tag, path, noise, within an article)
+    stack: list[tuple[str, str, bool, bool, bool]] = []  # (tag, path, noise, within an article, named there)
     leaf, leaf_named = "", False
     text: list[str] = []
 
@@ -78,8 +78,8 @@ def blocks_of(page: str | None) -> list[Block]:
             joined = "".join(text)
             joined = " ".join((entities.unescape(joined) if "&" in joined else joined).split())
             if joined:
-                path, noise, article = (stack[-1][1], stack[-1][2], stack[-1][3]) if stack else ("", False, False)
-                out.append(Block(f"{path}/{leaf}", joined, noise, article, not leaf_named))
+                _, path, noise, article, named = stack[-1] if stack else OUTSIDE
+                out.append(Block(f"{path}/{leaf}", joined, noise, article, not (leaf_named or named)))
             text.clear()
 
     pos = 0
@@ -107,14 +107,15 @@ def blocks_of(page: str | None) -> list[Block]:
             continue
         first, noisy = _names(m.group(4)) if m.group(4) else ("", False)
         name = f"{tag}.{first}" if first else tag
-        path, noise, article = (stack[-1][1], stack[-1][2], stack[-1][3]) if stack else ("", False, False)
+        _, path, noise, article, named = stack[-1] if stack else OUTSIDE
         if tag in CONTAINERS or tag in NOISE_TAGS or noisy:
             if tag in ("body", "html"):
                 if tag == "body":
-                    stack[:] = [("body", "body", False, False)]
+                    stack[:] = [("body", "body", False, False, False)]
                 continue
             here = noisy or tag in NOISE_TAGS or (tag == "header" and not article)
-            stack.append((tag, f"{path}/{name}", noise or here, article or tag in ("article", "main")))
+            stack.append((tag, f"{path}/{name}", noise or here, article or tag in ("article", "main"),
+                          named or (article and bool(first))))
         else:
             leaf, leaf_named = name, bool(first)
     if pos < len(page):
