@@ -38,9 +38,9 @@ def first_token_score(raw) -> Column:
 
 
 def capped_score(raw, cap: float = 0.9999) -> tuple[Column, Column]:
-    """``min((s - 1) / 4, cap)`` and the raw score; bad -> both null."""
+    """``min((s - 1) / 4, cap)`` and the raw score; bad -> both null, nan stays nan."""
     s = py_float(strip_py(raw))
-    return F.least((s - 1) / 4, F.lit(cap)), s
+    return F.when(s.isNull() | F.isnan(s), s).otherwise(F.least((s - 1) / 4, F.lit(cap))), s
 
 
 def plain_score(raw) -> tuple[Column, Column]:
@@ -59,12 +59,24 @@ def json_ok(raw) -> Column:
     return F.try_parse_json(_col(raw)).isNotNull()
 
 
+def json_truthy(raw, field: str) -> Column:
+    """Whether a JSON object's field is truthy: a true boolean, a number but 0, any text or list but the empty one."""
+    v = F.try_variant_get(F.try_parse_json(_col(raw)), f"$.{field}", "variant")
+    kind = F.schema_of_variant(v)
+    text = F.try_variant_get(v, "$", "string")
+    return F.coalesce(
+        F.when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
+        .when(kind == "STRING", F.length(text) > 0)
+        .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), ~text.isin("[]", "{}"))
+        .when(kind != "VOID", F.try_variant_get(v, "$", "double") != 0), F.lit(False))
+
+
 def toxicity(raw) -> Column:
-    """struct(flagged, reason); bad JSON -> not flagged, fixed reason."""
-    j = F.from_json(_col(raw), "is_toxic boolean, reason string")
+    """struct(flagged, reason); any truthy value flags; bad JSON -> not flagged, fixed reason."""
+    j = F.from_json(_col(raw), "reason string")
     ok = json_ok(raw)
     return F.struct(
-        F.when(ok, F.coalesce(j.getField("is_toxic"), F.lit(False))).otherwise(F.lit(False)).alias("flagged"),
+        F.when(ok, json_truthy(raw, "is_toxic")).otherwise(F.lit(False)).alias("flagged"),
         F.when(ok, j.getField("reason")).otherwise(F.lit("Parse error - defaulting to safe")).alias("reason"))
 
 

@@ -16,14 +16,13 @@ from ..session import ensure_checkpoint_dir
 from .joins import broadcast_if_small
 
 
-def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent",
-              max_rounds: int = 10_000) -> DataFrame:
+def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
     """``(node, ancestor, depth)`` for every ancestor of every node,
-    depth = shortest path length."""
+    depth = shortest path length.  Cycles end: a pair is found once."""
     ensure_checkpoint_dir(edges.sparkSession)
     e = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).distinct().checkpoint(eager=True)
     forest = e.groupBy("_c").count().filter(F.col("count") > 1).isEmpty()
-    return _forest_ancestors(e, max_rounds) if forest else _dag_ancestors(e, max_rounds)
+    return _forest_ancestors(e) if forest else _dag_ancestors(e)
 
 
 def _union(frames):
@@ -33,36 +32,39 @@ def _union(frames):
     return out
 
 
-def _forest_ancestors(e: DataFrame, max_rounds: int) -> DataFrame:
+def _forest_ancestors(e: DataFrame) -> DataFrame:
     """One parent per node: pointer doubling, ``log2(depth) + 1`` rounds.
 
     With ``A`` = all ancestors within distance ``span`` and ``exact`` = the
     ancestor at distance exactly ``span``, the ancestors at distances
     ``span+1 .. 2*span`` of ``x`` are those of ``exact(x)`` within ``span``.
-    Every pair is produced once, so no de-duplication is needed."""
+    On a cycle pairs come back after one turn; they are removed, so the
+    loop ends when a round finds no new pair."""
     exact = e.select(F.col("_c").alias("node"), F.col("_p").alias("mid"))
     found = [e.select(F.col("_c").alias("node"), F.col("_p").alias("ancestor"), F.lit(1).alias("depth"))]
     span = 1
-    for _ in range(max_rounds):
+    while True:
         acc = _union(found).select(F.col("node").alias("mid"), "ancestor", "depth")
+        seen = _union(found).select("node", "ancestor")
         nxt = exact.join(acc, "mid").select("node", "ancestor", (F.col("depth") + span).alias("depth")) \
-            .checkpoint(eager=True)
+            .join(seen, ["node", "ancestor"], "left_anti").checkpoint(eager=True)
         if nxt.isEmpty():
             break
         found.append(nxt)
         span *= 2
-        exact = nxt.filter(F.col("depth") == span).select("node", F.col("ancestor").alias("mid"))
+        step = exact.select(F.col("node").alias("mid"), F.col("mid").alias("far"))
+        exact = exact.join(step, "mid").select("node", F.col("far").alias("mid")).checkpoint(eager=True)
     return _union(found)
 
 
-def _dag_ancestors(e: DataFrame, max_rounds: int) -> DataFrame:
+def _dag_ancestors(e: DataFrame) -> DataFrame:
     """Several parents: breadth-first frontier rounds (rounds = depth); pairs
     already found are removed each round so every pair keeps its first
     (shortest) depth and no path is expanded twice."""
     frontier = e.select(F.col("_c").alias("node"), F.col("_p").alias("ancestor"), F.lit(1).alias("depth"))
     found = [frontier]
     seen = frontier.select("node", "ancestor")
-    for _ in range(max_rounds):
+    while True:
         nxt = frontier.join(e, frontier["ancestor"] == e["_c"]).select(
             "node", F.col("_p").alias("ancestor"), (F.col("depth") + 1).alias("depth"))
         nxt = nxt.groupBy("node", "ancestor").agg(F.min("depth").alias("depth")) \
@@ -111,7 +113,7 @@ def descendants(edges: DataFrame, child: str = "child", parent: str = "parent")
 
 
 def ancestors_of(edges: DataFrame, nodes: DataFrame, node_col: str = "node", child: str = "child",
-                 parent: str = "parent", max_rounds: int = 10_000) -> DataFrame:
+                 parent: str = "parent") -> DataFrame:
     """Ancestors of requested artifacts only: the frontier starts from
     ``nodes``, so the work follows their lineage, not the whole graph."""
     ensure_checkpoint_dir(edges.sparkSession)
@@ -120,7 +122,7 @@ def ancestors_of(edges: DataFrame, nodes: DataFrame, node_col: str = "node", chi
     frontier = start.join(e, start["node"] == e["_c"]).select(
         "node", F.col("_p").alias("ancestor"), F.lit(1).alias("depth")).checkpoint(eager=True)
     found, seen = [frontier], frontier.select("node", "ancestor")
-    for _ in range(max_rounds):
+    while True:
         if frontier.isEmpty():
             break
         nxt = frontier.join(e, frontier["ancestor"] == e["_c"]).select(

@@ -43,7 +43,7 @@ VOCAB_BROADCAST_ROWS = 1_000_000  # (token, count) rows: tens of MB at most
 
 
 def _fraction(threshold: float) -> tuple[int, int]:
-    f = Fraction(str(threshold)).limit_denominator(10 ** 6)
+    f = Fraction(str(threshold))
     return f.numerator, f.denominator
 
 
@@ -69,8 +69,7 @@ def prefix_rows(reps: DataFrame, num: int, den: int) -> DataFrame:
         .select("seq", "n", "token")
 
 
-def resolve_front_rounds(reps: DataFrame, num: int, den: int, front: int = 256,
-                         max_rounds: int = 1_000_000) -> DataFrame:
+def resolve_front_rounds(reps: DataFrame, num: int, den: int, front: int = 256) -> DataFrame:
     """Ordered greedy resolution without materialising the similarity graph.
 
     Each round compares an undecided row ``b`` only with
@@ -94,7 +93,7 @@ def resolve_front_rounds(reps: DataFrame, num: int, den: int, front: int = 256,
     len_ok = ((F.col("nb") * den >= F.col("na") * num) & (F.col("na") * den >= F.col("nb") * num))
     global LAST_ROUNDS
     LAST_ROUNDS = 0
-    for _ in range(max_rounds):
+    while True:  # the first undecided row is decided in every round
         LAST_ROUNDS += 1
         # only undecided rows and rows kept in the previous round take part
         ps = pre.join(status.filter(F.col("st").isin(UNDECIDED, NEW_KEPT)), "seq")

@@ -169,13 +169,13 @@ def first_injection_match(user_message, patterns: Sequence[str] = INJECTION_PATT
                           case_insensitive: bool = False) -> Column:
     """First pattern (in order) found in the lower-cased message, else null.
 
-    Python ``re.search`` semantics: ``.`` does not cross a newline, as in
-    Java.  ``case_insensitive`` adds ``(?i)`` so ``\\[INST\\]`` can match.
+    Python ``re.search`` semantics: ``.`` stops at ``\\n`` only, which is
+    Java's ``(?d)`` (UNIX_LINES).  ``case_insensitive`` adds ``(?i)`` so ``\\[INST\\]`` can match.
     """
     low = F.lower(user_message)
     out = F.lit(None).cast("string")
     for p in reversed(list(patterns)):
-        pat = ("(?i)" + p) if case_insensitive else p
+        pat = ("(?id)" if case_insensitive else "(?d)") + p
         out = F.when(low.rlike(pat), F.lit(p)).otherwise(out)
     return out
 

@@ -33,7 +33,7 @@ def judge_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 JUDGE_CAPPED_SQL = X.with_ctes(X.JUDGE_RAW_SQL, body=rf"""
-SELECT id, round(least((s - 1) / 4, 0.9999), 6) AS accuracy_score, s AS accuracy_raw
+SELECT id, round(CASE WHEN s IS NULL OR isnan(s) THEN s ELSE least((s - 1) / 4, 0.9999) END, 6) AS accuracy_score, s AS accuracy_raw
 FROM (SELECT id, CASE WHEN regexp_matches(t, {_FLOAT}) THEN TRY_CAST(t AS DOUBLE) END AS s
       FROM (SELECT id, {_STRIP} AS t FROM judge_raw))
 """)
@@ -73,7 +73,13 @@ def toxicity_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 TOXICITY_VERDICT_SQL = X.with_ctes(X.VERDICT_JSON_SQL, body=r"""
 SELECT id,
   CASE WHEN json_valid(toxicity_raw)
-       THEN coalesce(TRY_CAST(json_extract(toxicity_raw, '$.is_toxic') AS BOOLEAN), false)
+       THEN coalesce(CASE json_type(toxicity_raw, '$.is_toxic')
+              WHEN 'BOOLEAN' THEN json_extract_string(toxicity_raw, '$.is_toxic') = 'true'
+              WHEN 'VARCHAR' THEN json_extract_string(toxicity_raw, '$.is_toxic') <> ''
+              WHEN 'NULL' THEN false
+              WHEN 'ARRAY' THEN json_extract_string(toxicity_raw, '$.is_toxic') <> '[]'
+              WHEN 'OBJECT' THEN json_extract_string(toxicity_raw, '$.is_toxic') <> '{}'
+              ELSE TRY_CAST(json_extract_string(toxicity_raw, '$.is_toxic') AS DOUBLE) <> 0 END, false)
        ELSE false END AS flagged,
   CASE WHEN json_valid(toxicity_raw) THEN json_extract_string(toxicity_raw, '$.reason')
        ELSE 'Parse error - defaulting to safe' END AS reason

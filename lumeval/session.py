@@ -32,15 +32,19 @@ def get_session(master: str | None = None, app_name: str = "lumeval",
                 shuffle_partitions: int | None = None,
                 extra_conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    asked = dict(extra_conf or {})
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra_conf or {})
-    for k, v in conf.items():
+        asked["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master:  # a run of our own: nothing else configures it
+        builder = builder.master(master)
+        asked = {**DEFAULT_CONF, **asked}
+    for k, v in asked.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for k, v in DEFAULT_CONF.items():
+        if k.startswith("spark.sql.") and k not in asked and not given.contains(k):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
@@ -61,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     base = os.environ.get("LUMEVAL_SCRATCH", "/tmp")
     local = tempfile.mkdtemp(prefix="lumeval-ckpt-", dir=base)
     spark.conf.set("spark.checkpoint.dir", local)
