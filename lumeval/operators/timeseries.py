@@ -65,12 +65,11 @@ def price_stats(prices: DataFrame, periods: Sequence[str] = ("5d", "1mo", "max")
         F.min("ts").alias("_t0"), F.max("ts").alias("_t1"),
         F.min_by("close", "ts").alias("_p0"), F.max_by("close", "ts").alias("_p1"),
         F.max("close").alias("_hi"), F.min("close").alias("_lo"),
-        F.sum(F.round(F.col("close") * 100).cast("long")).alias("_cents"))
-    # mean to the cent, half up, in integer arithmetic: the same in any engine
-    # and any summation order (a float mean of 2-decimal prices often sits on
-    # a tie such as 44.795)
-    n = F.col("data_points")
-    avg = F.floor((2 * F.col("_cents") + n) / (2 * n)) / 100
+        F.sum(F.col("close").cast("decimal(18,8)")).alias("_sum"))
+    # the unrounded prices are summed exactly and the mean is rounded once, half
+    # up: the same in any engine and any summation order (a float mean often
+    # sits on a tie such as 44.795)
+    avg = F.round(F.col("_sum") / F.col("data_points"), 2).cast("double")
     return g.select(
         "symbol", "period", "data_points",
         F.date_format("_t0", "yyyy-MM-dd").alias("start_date"),
