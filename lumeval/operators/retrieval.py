@@ -1,40 +1,43 @@
 """Exact top-k cosine retrieval (F1, H1) and retrieval scoring (F3, C9, C10,
 G10, B8).
 
-Plan, per batch of questions:
-
-1. The question batch is size-checked (rows x dim x 8 bytes against
-   ``lumeval.retrieval.maxBatchBytes``) and shipped to executors as a
-   broadcast matrix.  Questions beyond the bound go in further batches; the
-   corpus is never collected.
-2. ``mapInPandas`` over the corpus partitions: one NumPy block product per
-   Arrow batch gives the cosine of every (chunk, question) pair in memory;
-   each partition emits only its local top-k per question, so no pair rows
-   ever reach a shuffle.
-3. One window ``row_number() <= k`` per question merges the <= k x partitions
+Plan:
+
+1. Questions and chunks are dealt into blocks by a hash; the number of
+   blocks follows from their bytes (``lumeval.retrieval.maxBatchBytes`` a
+   block), so a pair of blocks fits a task whatever the tables' size.
+2. Every pair of blocks meets in one cell of a shuffle.  A cell computes its
+   cosines as NumPy block products and gives out its top k per question, so
+   no pair rows reach the next shuffle, and nothing passes the driver.
+3. One window ``row_number() <= k`` per question merges the <= k x blocks
    candidates (Catalyst adds a partial WindowGroupLimit before the shuffle).
 
+Ids of questions and chunks may be of any type.  A vector that is null or
+holds a null, and a zero vector, is never retrieved and retrieves nothing.
 Ties keep corpus order (``pos`` ascending), as a stable descending sort does.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .joins import broadcast_if_small
 
-DEFAULT_MAX_BATCH_BYTES = 256 * 1024 * 1024
+DEFAULT_MAX_BATCH_BYTES = 64 * 1024 * 1024
 BLOCK_ENTRIES = 4 * 1024 * 1024  # (chunks x questions) per NumPy block, 32 MiB
 
 
-def _unit_rows(mat: np.ndarray) -> np.ndarray:
+def _unit_matrix(t: pa.Table) -> np.ndarray:
+    col = pa.chunked_array(t.column("_vec").chunks, t.schema.field("_vec").type)
+    flat = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in col.chunks])
+    mat = flat.reshape(len(col), -1)
     norms = np.linalg.norm(mat, axis=1)
     with np.errstate(invalid="ignore", divide="ignore"):
         out = mat / norms[:, None]
@@ -42,60 +45,44 @@ def _unit_rows(mat: np.ndarray) -> np.ndarray:
     return out
 
 
-def _best(parts: list, k: int, pos_col: str) -> pd.DataFrame:
-    """Top k rows per question by (score desc, corpus position asc)."""
-    cand = pd.concat(parts, ignore_index=True)
-    cand = cand.sort_values(["_q", "score", pos_col], ascending=[True, False, True], kind="stable")
-    return cand[cand.groupby("_q").cumcount() < k]
-
-
-def _local_topk(bc, k: int, exclude_self: bool, id_col: str, pos_col: str, vec_col: str,
-                carry: list[str], q_carry: list[str]):
-    def run(batches):
-        q_ids, q_unit, q_extra = bc.value
-        q_index = pd.Index(q_ids)
-        nq = len(q_ids)
-        acc, pending = [], 0
-        for pdf in batches:
-            if len(pdf) == 0 or nq == 0:
-                continue
-            c = _unit_rows(np.stack(pdf[vec_col].to_numpy()).astype(np.float64))
-            m = len(pdf)
-            self_col = q_index.get_indexer(pdf[id_col].to_numpy()) if exclude_self else None
-            step = max(1, BLOCK_ENTRIES // max(m, 1))
+def _cell_topk(k: int, exclude_self: bool, carry: list[str], q_carry: list[str]):
+    names = ["q", "chunk_id", "pos", "score", *carry, *[f"q_{c}" for c in q_carry]]
+
+    def run(qs: pa.Table, cs: pa.Table) -> pa.Table:
+        nq, m = qs.num_rows, cs.num_rows
+        qi = ci = np.zeros(0, np.int64)
+        score = np.zeros(0)
+        if nq and m:
+            q_unit, c_unit = _unit_matrix(qs), _unit_matrix(cs)
+            pos = cs.column("pos").to_numpy()
+            if exclude_self:
+                both = pd.factorize(np.concatenate([qs.column("_self").to_pandas(), cs.column("_self").to_pandas()]))[0]
+            parts = []
+            step = max(1, BLOCK_ENTRIES // m)
             for j0 in range(0, nq, step):
                 j1 = min(nq, j0 + step)
-                s = c @ q_unit[j0:j1].T  # (m, block) cosine
-                s = np.where(np.isnan(s), -np.inf, s)
+                s = c_unit @ q_unit[j0:j1].T  # (m, block) cosine
+                s[np.isnan(s)] = -np.inf
                 if exclude_self:
-                    rows = np.nonzero((self_col >= j0) & (self_col < j1))[0]
-                    s[rows, self_col[rows] - j0] = -np.inf
+                    s[both[nq:, None] == both[None, j0:j1]] = -np.inf
                 kk = min(k, m)
                 thr = -np.partition(-s, kk - 1, axis=0)[kk - 1]  # k-th best per question
                 r, col = np.nonzero((s >= thr[None, :]) & np.isfinite(s))
-                if len(r) == 0:
-                    continue
-                part = pd.DataFrame({"_r": r, "_q": col + j0, "score": s[r, col]})
-                acc.append(pd.concat([part.reset_index(drop=True),
-                                      pdf.iloc[r][[id_col, pos_col, *carry]].reset_index(drop=True)],
-                                     axis=1))
-                pending += len(part)
-            if pending > 4 * k * nq:  # keep the partition's buffer at O(k x questions)
-                acc, pending = [_best(acc, k, pos_col)], k * nq
-        if not acc:
-            return
-        cand = _best(acc, k, pos_col)
-        out = pd.DataFrame({"q": q_ids[cand["_q"].to_numpy()], "chunk_id": cand[id_col].to_numpy(),
-                            "pos": cand[pos_col].to_numpy(), "score": cand["score"].to_numpy()})
-        for c_ in carry:
-            out[c_] = cand[c_].to_numpy()
-        qi = cand["_q"].to_numpy()
-        for c_ in q_carry:
-            out[f"q_{c_}"] = q_extra[c_][qi]
-        yield out
+                part = pd.DataFrame({"q": col + j0, "c": r, "score": s[r, col], "pos": pos[r]})
+                part = part.sort_values(["q", "score", "pos"], ascending=[True, False, True], kind="stable")
+                parts.append(part[part.groupby("q").cumcount() < k])
+            best = pd.concat(parts)
+            qi, ci, score = best["q"].to_numpy(), best["c"].to_numpy(), best["score"].to_numpy()
+        left, right = qs.take(pa.array(qi)), cs.take(pa.array(ci))
+        return pa.table([left.column("q"), right.column("chunk_id"), right.column("pos"), pa.array(score, pa.float64()),
+                         *[right.column(c) for c in carry], *[left.column(f"q_{c}") for c in q_carry]], names=names)
     return run
 
 
+def _usable(vec: str):
+    return F.col(vec).isNotNull() & (F.size(vec) > 0) & ~F.exists(vec, lambda x: x.isNull() | F.isnan(x))
+
+
 def top_k_cosine(queries: DataFrame, corpus: DataFrame, k: int = 2, *, q_col: str = "q",
                  q_vec: str = "embedding", c_id: str = "chunk_id", c_pos: str = "pos",
                  c_vec: str = "embedding", carry: tuple[str, ...] = (),
@@ -103,74 +90,88 @@ def top_k_cosine(queries: DataFrame, corpus: DataFrame, k: int = 2, *, q_col: st
                  max_batch_bytes: int | None = None) -> DataFrame:
     """Top-k chunks per question by cosine,
     ``(q, rank, chunk_id, pos, score, *carry, *q_<q_carry>)``: ``carry`` are
-    corpus columns, ``q_carry`` question columns shipped with the batch."""
+    corpus columns, ``q_carry`` question columns that travel along."""
     spark = queries.sparkSession
     if max_batch_bytes is None:
         max_batch_bytes = int(spark.conf.get("lumeval.retrieval.maxBatchBytes",
                                              str(DEFAULT_MAX_BATCH_BYTES)))
-    q_carry = list(q_carry)
-    qdf = queries.select(F.col(q_col).cast("long").alias("_qid"), F.col(q_vec).alias("_qvec"), *q_carry)
-    stats = qdf.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_qvec")).alias("d")).first()
-    n_q, dim = int(stats["n"] or 0), int(stats["d"] or 0)
-    n_batches = max(1, math.ceil(n_q * (dim * 8 + 16) / max_batch_bytes))
-    carry = list(carry)
-    cschema = corpus.select(*carry).schema if carry else T.StructType([])
-    qschema = queries.select(*q_carry).schema if q_carry else T.StructType([])
+    carry, q_carry = list(carry), list(q_carry)
+    qs, cs = queries.filter(_usable(q_vec)), corpus.filter(_usable(c_vec))
+
+    def blocks(df, vec):
+        total = df.agg(F.sum(F.size(vec).cast("long") * 8 + 64)).first()[0] or 0
+        return max(1, math.ceil(int(total) / max_batch_bytes))
+
+    n_q, n_c = blocks(qs, q_vec), blocks(cs, c_vec)
+    n_c = max(n_c, spark.sparkContext.defaultParallelism // n_q)
+
+    def other(n):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    def dealt(n, *cols):
+        return F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")
+
+    left = qs.select(
+        (dealt(n_q, q_col, q_vec) * n_c).alias("_b"), other(n_c).alias("_o"), F.col(q_col).alias("q"),
+        F.col(q_col).cast("string").alias("_self"), F.col(q_vec).cast("array<double>").alias("_vec"),
+        *[F.col(c).alias(f"q_{c}") for c in q_carry]).withColumn("_cell", F.col("_b") + F.col("_o")).drop("_b", "_o")
+    right = cs.select(
+        dealt(n_c, c_id, c_vec).alias("_b"), other(n_q).alias("_o"), F.col(c_id).alias("chunk_id"),
+        F.col(c_id).cast("string").alias("_self"), F.col(c_pos).cast("long").alias("pos"),
+        F.col(c_vec).cast("array<double>").alias("_vec"), *carry) \
+        .withColumn("_cell", F.col("_b") + F.col("_o") * n_c).drop("_b", "_o")
     schema = T.StructType([
-        T.StructField("q", T.LongType()), T.StructField("chunk_id", T.LongType()),
+        T.StructField("q", left.schema["q"].dataType), T.StructField("chunk_id", right.schema["chunk_id"].dataType),
         T.StructField("pos", T.LongType()), T.StructField("score", T.DoubleType()),
-        *cschema.fields, *[T.StructField(f"q_{f.name}", f.dataType) for f in qschema.fields]])
-    cin = corpus.select(F.col(c_id).cast("long").alias(c_id), F.col(c_pos).cast("long").alias(c_pos),
-                        F.col(c_vec).alias(c_vec), *carry)
-    parts = []
-    for b in range(n_batches):
-        batch = qdf if n_batches == 1 else qdf.filter(F.pmod(F.xxhash64("_qid"), F.lit(n_batches)) == b)
-        pdf = batch.toPandas()  # bounded by max_batch_bytes
-        if len(pdf) == 0:
-            continue
-        ids = pdf["_qid"].to_numpy(dtype=np.int64)
-        mat = _unit_rows(np.stack(pdf["_qvec"].to_numpy()).astype(np.float64))
-        extra = {c_: pdf[c_].to_numpy() for c_ in q_carry}
-        bc = spark.sparkContext.broadcast((ids, mat, extra))
-        parts.append(cin.mapInPandas(_local_topk(bc, k, exclude_self, c_id, c_pos, c_vec, carry, q_carry),
-                                     schema))
-    if not parts:
-        return spark.createDataFrame([], schema.add("rank", T.IntegerType()))
-    cand = reduce(lambda a, b: a.unionByName(b), parts)
+        *[T.StructField(c, right.schema[c].dataType) for c in carry],
+        *[T.StructField(f"q_{c}", left.schema[f"q_{c}"].dataType) for c in q_carry]])
+    cand = left.groupBy("_cell").cogroup(right.groupBy("_cell")).applyInArrow(
+        _cell_topk(k, exclude_self, carry, q_carry), schema)
     w = Window.partitionBy("q").orderBy(F.col("score").desc(), F.col("pos").asc())
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def _precision_recall(n_retrieved, n_hit, n_relevant):
+    return (F.when(n_retrieved == 0, F.lit(0.0)).otherwise(n_hit / n_retrieved).alias("context_precision"),
+            F.when(n_relevant == 0, F.lit(1.0)).otherwise(n_hit / n_relevant).alias("context_recall"))
+
+
 def retrieval_scores(hits: DataFrame, queries: DataFrame, relevant_counts: DataFrame,
                      k_values=(None,), q_label: str = "label", c_label: str = "label") -> DataFrame:
-    """Context precision / recall per (k, question) from ranked hits.
+    """Context precision / recall per (k, question) from ranked hits (C9, C10,
+    F3); a question without hits has a row, too.
 
     Relevance is label equality, resolved in long form: a hit is relevant
     when its chunk label equals the question's; the relevant-set size comes
     from a per-label count, so no per-question id list is ever built.
     """
-    ks = [k for k in k_values]
-    h = hits
-    if ks != [None]:
-        h = h.withColumn("k", F.explode(F.array(*[F.lit(int(k)) for k in ks]))) \
-             .filter(F.col("rank") <= F.col("k"))
-    else:
-        h = h.withColumn("k", F.lit(None).cast("int"))
-    if f"q_{q_label}" in h.columns:  # the question label came with the hits
-        h = h.withColumn("_ql", F.col(f"q_{q_label}"))
+    ks = F.explode(F.array(*[F.lit(k).cast("int") for k in k_values])).alias("k")
+    asked = queries.select("q", F.col(q_label).alias("_ql"), ks)
+    if f"q_{q_label}" in hits.columns:  # the question label came with the hits
+        h = hits.withColumn("_hl", F.col(f"q_{q_label}"))
     else:
-        h = h.join(queries.select(F.col("q"), F.col(q_label).alias("_ql")), "q")
-    agg = h.groupBy("k", "q", "_ql").agg(
+        h = hits.join(queries.select("q", F.col(q_label).alias("_hl")), "q")
+    h = h.select("*", ks).filter(F.col("k").isNull() | (F.col("rank") <= F.col("k")))
+    agg = h.groupBy("k", "q").agg(
         F.count(F.lit(1)).alias("n_retrieved"),  # chunk ids are distinct per question
-        F.sum(F.when(F.col(c_label) == F.col("_ql"), 1).otherwise(0)).alias("n_hit"))
+        F.sum(F.when(F.col(c_label) == F.col("_hl"), 1).otherwise(0)).alias("n_hit")) \
+        .withColumnsRenamed({"k": "_k", "q": "_q"})
+    out = asked.join(agg, (F.col("q") == F.col("_q")) & F.col("k").eqNullSafe(F.col("_k")), "left")
     # one row per label: broadcast behind a size check
-    out = agg.join(broadcast_if_small(relevant_counts), "_ql", "left")
-    n_rel = F.coalesce(F.col("n_relevant"), F.lit(0))
-    return out.select(
-        "k", "q",
-        F.when(F.col("n_retrieved") == 0, F.lit(0.0)).otherwise(F.col("n_hit") / F.col("n_retrieved"))
-        .alias("context_precision"),
-        F.when(n_rel == 0, F.lit(1.0)).otherwise(F.col("n_hit") / n_rel).alias("context_recall"))
+    out = out.join(broadcast_if_small(relevant_counts), "_ql", "left")
+    zero = F.lit(0)
+    return out.select("k", "q", *_precision_recall(
+        F.coalesce("n_retrieved", zero), F.coalesce("n_hit", zero), F.coalesce("n_relevant", zero)))
+
+
+def scores_by_id_list(hits: DataFrame, queries: DataFrame, relevant: str = "relevant_ids") -> DataFrame:
+    """C9 + C10 where every question lists its relevant chunk ids (null: none);
+    repeated ids count once, a question without hits has a row."""
+    got = hits.groupBy("q").agg(F.collect_set("chunk_id").alias("_got"))  # at most k ids
+    out = queries.select("q", F.col(relevant).alias("_rel")).join(got, "q", "left")
+    none = F.array().cast(out.schema["_rel"].dataType)
+    rel, ids = F.array_distinct(F.coalesce("_rel", none)), F.coalesce("_got", none)
+    return out.select("q", *_precision_recall(F.size(ids), F.size(F.array_intersect(ids, rel)), F.size(rel)))
 
 
 def build_context(hits: DataFrame, contents: DataFrame, id_col: str = "chunk_id",

@@ -27,6 +27,7 @@ QUERIES = {
     "rag_precision_recall": rq.rag_precision_recall,
     "rag_k_sweep": rq.rag_k_sweep,
     "rag_context": rq.rag_context,
+    "rag_id_lists": rq.rag_id_lists,
     "cosine_pairs": rq.cosine_pairs,
     "similarity_threshold": rq.similarity_threshold,
     "parse_generated": cq.parse_generated,
@@ -89,6 +90,7 @@ ORACLE_SQL = {
     "rag_precision_recall": rq.RAG_PRECISION_RECALL_SQL,
     "rag_k_sweep": rq.RAG_K_SWEEP_SQL,
     "rag_context": rq.RAG_CONTEXT_SQL,
+    "rag_id_lists": rq.RAG_ID_LISTS_SQL,
     "cosine_pairs": rq.COSINE_PAIRS_SQL,
     "similarity_threshold": rq.SIMILARITY_THRESHOLD_SQL,
     "parse_generated": cq.PARSE_GENERATED_SQL,

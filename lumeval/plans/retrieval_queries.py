@@ -56,10 +56,11 @@ def rag_precision_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RAG_PRECISION_RECALL_SQL = X.with_ctes(_RANKED_SQL, body="""
 , per_q AS (
-  SELECT r.q, count(*) AS n_ret, sum(CASE WHEN c_label = q_label THEN 1 ELSE 0 END) AS n_hit,
-         any_value(rel.n_relevant) AS n_rel
-  FROM ranked r JOIN relevant rel ON rel.label = r.q_label WHERE rank <= 2 GROUP BY r.q)
-SELECT q, round(CASE WHEN n_ret = 0 THEN 0.0 ELSE n_hit / n_ret END, 6) AS context_precision,
+  SELECT e.vec_id AS q, count(r.q) AS n_ret, sum(CASE WHEN c_label = q_label THEN 1 ELSE 0 END) AS n_hit,
+         coalesce(any_value(rel.n_relevant), 0) AS n_rel
+  FROM embeddings e LEFT JOIN ranked r ON r.q = e.vec_id AND r.rank <= 2
+  LEFT JOIN relevant rel ON rel.label = e.label GROUP BY e.vec_id)
+SELECT q,round(CASE WHEN n_ret = 0 THEN 0.0 ELSE n_hit / n_ret END, 6) AS context_precision,
        round(CASE WHEN n_rel = 0 THEN 1.0 ELSE n_hit / n_rel END, 6) AS context_recall
 FROM per_q
 """)
@@ -78,10 +79,11 @@ def rag_k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 RAG_K_SWEEP_SQL = X.with_ctes(_RANKED_SQL, body="""
 , ks AS (SELECT unnest([1, 2, 3]) AS k),
 per_q AS (
-  SELECT ks.k, r.q, count(*) AS n_ret, sum(CASE WHEN c_label = q_label THEN 1 ELSE 0 END) AS n_hit,
-         any_value(rel.n_relevant) AS n_rel
-  FROM ranked r JOIN ks ON r.rank <= ks.k JOIN relevant rel ON rel.label = r.q_label
-  GROUP BY ks.k, r.q)
+  SELECT ks.k, e.vec_id AS q, count(r.q) AS n_ret, sum(CASE WHEN c_label = q_label THEN 1 ELSE 0 END) AS n_hit,
+         coalesce(any_value(rel.n_relevant), 0) AS n_rel
+  FROM embeddings e CROSS JOIN ks LEFT JOIN ranked r ON r.q = e.vec_id AND r.rank <= ks.k
+  LEFT JOIN relevant rel ON rel.label = e.label
+  GROUP BY ks.k, e.vec_id)
 SELECT k,
   round(avg(CASE WHEN n_ret = 0 THEN 0.0 ELSE n_hit / n_ret END), 6) AS mean_context_precision,
   round(avg(CASE WHEN n_rel = 0 THEN 1.0 ELSE n_hit / n_rel END), 6) AS mean_context_recall,
@@ -90,6 +92,39 @@ FROM per_q GROUP BY k
 """)
 
 
+def rag_id_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C9 + C10 + F3 with text ids and a list of relevant ids for every question:
+    the chunk of its own vector and the next one."""
+    e = read_table(spark, sf_dir, "embeddings")
+
+    def chunk(n):
+        return F.concat(F.lit("c"), (F.col("vec_id") + n).cast("string"))
+
+    questions = e.select(F.concat(F.lit("q"), F.col("vec_id").cast("string")).alias("q"), "embedding",
+                         F.array(chunk(0), chunk(1)).alias("relevant_ids"))
+    chunks = e.select(chunk(0).alias("chunk_id"), F.col("vec_id").alias("pos"), "embedding")
+    s = R.scores_by_id_list(R.top_k_cosine(questions, chunks, TOP_K), questions)
+    return s.select("q", "context_precision", "context_recall")
+
+
+RAG_ID_LISTS_SQL = r"""
+WITH pairs AS (
+  SELECT a.vec_id AS q, b.vec_id AS chunk_id,
+    list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS score
+  FROM embeddings a, embeddings b),
+hits AS (
+  SELECT q, chunk_id FROM pairs
+  QUALIFY row_number() OVER (PARTITION BY q ORDER BY score DESC, chunk_id ASC) <= 2),
+per_q AS (
+  SELECT e.vec_id, count(h.q) AS n_ret,
+         count(CASE WHEN h.chunk_id IN (e.vec_id, e.vec_id + 1) THEN 1 END) AS n_hit
+  FROM embeddings e LEFT JOIN hits h ON h.q = e.vec_id GROUP BY e.vec_id)
+SELECT 'q' || CAST(vec_id AS VARCHAR) AS q, CASE WHEN n_ret = 0 THEN 0.0 ELSE n_hit / n_ret END AS context_precision,
+       n_hit / 2 AS context_recall
+FROM per_q
+"""
+
+
 def rag_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B8 + H1: retrieval context from the top-2 chunks' document texts."""
     docs = read_table(spark, sf_dir, "documents").select(
