@@ -16,6 +16,8 @@ computed on the executors.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,12 +39,23 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _claim(spark: SparkSession, path: str) -> bool:
+    """Creates an empty file; False if it is there already."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).createNewFile(p)
+
+
 def content_digest(df: DataFrame) -> tuple[str, int]:
-    """Order-insensitive content digest and row count (one aggregate)."""
-    h = F.xxhash64(*[F.col(c) for c in sorted(df.columns)])
+    """Order-insensitive content digest and row count (one aggregate).
+
+    A row is hashed as JSON with its column names and nulls; the schema's own
+    hash is part of the digest, so a renamed or retyped column changes it."""
+    cols = sorted(df.columns)
+    h = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols]), {"ignoreNullFields": "false"}))
     r = df.agg(F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0)).alias("s"),
                F.count(F.lit(1)).alias("n")).first()
-    return f"{r['s']}:{r['n']}", int(r["n"])
+    kinds = ",".join(f"{c}:{df.schema[c].dataType.simpleString()}" for c in cols)
+    return f"{hashlib.md5(kinds.encode()).hexdigest()[:16]}:{r['s']}:{r['n']}", int(r["n"])
 
 
 def read_versions(spark: SparkSession, root: str) -> DataFrame:
@@ -62,7 +75,9 @@ def publish(df: DataFrame, name: str, root: str, published_at: str | None = None
     if last is not None and last["digest"] == digest:
         return int(last["version"])
     version = 1 if last is None else int(last["version"]) + 1
-    df.write.mode("overwrite").parquet(f"{root}/datasets/name={name}/version={version}")
+    while not _claim(spark, f"{root}/_claims/name={name}/version={version}"):
+        version += 1  # taken by another publisher
+    df.write.mode("errorifexists").parquet(f"{root}/datasets/name={name}/version={version}")
     stamp = published_at or _dt.datetime.now(_dt.timezone.utc).isoformat()
     spark.createDataFrame([(name, version, digest, n, stamp)], VERSIONS_SCHEMA) \
         .write.mode("append").parquet(f"{root}/_versions")
@@ -81,9 +96,17 @@ def read_version(spark: SparkSession, root: str, name: str, version: int | str =
 
 def log_edge(spark: SparkSession, root: str, run_id: str, direction: str, name: str, version: int) -> None:
     """Append a ``uses`` / ``produces`` edge."""
-    if direction not in ("uses", "produces"):
-        raise ValueError(direction)
-    spark.createDataFrame([(run_id, direction, name, int(version))], EDGES_SCHEMA) \
+    log_edges(spark, root, [(run_id, direction, name, int(version))])
+
+
+def log_edges(spark: SparkSession, root: str, edges: DataFrame | Iterable[tuple]) -> None:
+    """J1 in bulk: append a frame, or rows, of (run_id, direction, name, version) in one job."""
+    if not isinstance(edges, DataFrame):
+        edges = spark.createDataFrame(list(edges), EDGES_SCHEMA)
+    known = F.col("direction").isin("uses", "produces")
+    checked = F.when(known, F.col("direction")).otherwise(
+        F.raise_error(F.concat(F.lit("unknown direction: "), F.coalesce("direction", F.lit("null")))))
+    edges.select("run_id", checked.alias("direction"), "name", F.col("version").cast("long").alias("version")) \
         .write.mode("append").parquet(f"{root}/_edges")
 
 
@@ -101,12 +124,16 @@ def write_text_artifact(df: DataFrame, text_col: str, split_col: str, path: str)
 
 
 def file_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """A3: one row per file under ``path`` (recursive): path, split from the
-    ``split=`` folder, size and sha-256 of the content."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
-        .option("pathGlobFilter", "part-*").load(path)
+    """A3: one row per file under ``path`` (recursive): path, split (the first
+    folder below ``path``, as ``train`` or ``split=train``; empty for files
+    in ``path`` itself), size and sha-256 of the content."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    base = fs.makeQualified(fs_path).toUri().getPath().rstrip("/") + "/"
+    below = F.substring_index("path", base, -1)
     return files.select(
-        "path", F.regexp_extract("path", r"/split=([^/]+)/", 1).alias("split"),
+        "path", F.regexp_extract(below, r"^(?:split=)?([^/]+)/", 1).alias("split"),
         F.col("length").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
 
 
