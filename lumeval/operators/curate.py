@@ -104,13 +104,13 @@ def question_hash(col: str = "question") -> Column:
 def dedup_exact(df: DataFrame, order_col: str = "seq", col: str = "question") -> DataFrame:
     """Keep the first row (in ``order_col`` order) of every question hash.
 
-    ``min_by`` over a struct is a partial aggregate: a hash shared by a
-    third of all rows is pre-reduced in every map task before the shuffle.
+    The smallest ``order_col`` of a hash is a partial hash aggregate over two
+    narrow columns; the rows join it on (hash, order), which is unique, so a
+    hash shared by a third of all rows skews neither.
     """
-    cols = df.columns
-    g = df.withColumn("_h", question_hash(col)).groupBy("_h").agg(
-        F.min_by(F.struct(*cols), F.col(order_col)).alias("_r"))
-    return g.select(*[F.col("_r").getField(c).alias(c) for c in cols], F.col("_h").alias("question_hash"))
+    marked = df.withColumn("question_hash", question_hash(col))
+    first = marked.groupBy("question_hash").agg(F.min(order_col).alias(order_col))
+    return marked.join(first, ["question_hash", order_col], "left_semi").select(*df.columns, "question_hash")
 
 
 # ------------------------------------------------------------ D4-D6, G6

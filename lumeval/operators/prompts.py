@@ -64,18 +64,23 @@ def resolve(prompts: DataFrame, refs: DataFrame, name_col: str = "name",
         .drop("_pn", "_pv")
 
 
-def published_versions(prompts: DataFrame, name: str, limit: int = 10_000) -> list[int]:
-    """Version numbers of one prompt (a bounded catalog lookup)."""
-    rows = prompts.filter(F.col("name") == name).select("version").distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} versions of {name!r}")
-    return sorted(int(r["version"]) for r in rows)
+def render_columns(template: Column, fields: dict[str, Column]) -> Column:
+    """``template.format(**fields)`` for a template held in a column.
+
+    The template is cut from the left into doubled braces, fields and text
+    between, as ``str.format`` reads it; a null value renders as empty."""
+    names = "".join(rf"\{{{f}\}}|" for f in fields)
+    tokens = F.regexp_extract_all(template, F.lit(rf"(?s)(\{{\{{|\}}\}}|{names}[^{{}}]+|.)"), F.lit(1))
+
+    def text(t):
+        out = F.when(t == "{{", F.lit("{")).when(t == "}}", F.lit("}"))
+        for f, value in fields.items():
+            out = out.when(t == "{" + f + "}", F.coalesce(value.cast("string"), F.lit("")))
+        return out.otherwise(t)
+
+    return F.array_join(F.transform(tokens, text), "")
 
 
 def render_column(template: Column, field: str, value: Column) -> Column:
     """``template.format(**{field: value})`` for a template held in a column."""
-    protected = F.replace(F.replace(template, F.lit("{{"), F.lit("\u0001")), F.lit("}}"), F.lit("\u0002"))
-    parts = F.split(protected, "\\{" + field + "\\}", -1)
-    restored = F.transform(parts, lambda p: F.replace(F.replace(p, F.lit("\u0001"), F.lit("{")),
-                                                      F.lit("\u0002"), F.lit("}")))
-    return F.call_function("array_join", restored, F.coalesce(value.cast("string"), F.lit("")))
+    return render_columns(template, {field: value})

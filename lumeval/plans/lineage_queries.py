@@ -28,7 +28,8 @@ LINEAGE_ANCESTORS_SQL = "WITH RECURSIVE " + X.DAG_EDGES_SQL.strip() + """,
 anc(node, ancestor, depth) AS (
   SELECT child, parent, 1 FROM dag_edges
   UNION ALL
-  SELECT a.node, e.parent, a.depth + 1 FROM anc a JOIN dag_edges e ON e.child = a.ancestor)
+  SELECT a.node, e.parent, a.depth + 1 FROM anc a JOIN dag_edges e ON e.child = a.ancestor
+  WHERE e.parent <> e.child)
 SELECT node, ancestor, min(depth) AS depth FROM anc GROUP BY node, ancestor
 """
 
@@ -43,7 +44,8 @@ LINEAGE_DESCENDANTS_SQL = "WITH RECURSIVE " + X.DAG_EDGES_SQL.strip() + """,
 anc(node, ancestor, depth) AS (
   SELECT child, parent, 1 FROM dag_edges
   UNION ALL
-  SELECT a.node, e.parent, a.depth + 1 FROM anc a JOIN dag_edges e ON e.child = a.ancestor)
+  SELECT a.node, e.parent, a.depth + 1 FROM anc a JOIN dag_edges e ON e.child = a.ancestor
+  WHERE e.parent <> e.child)
 SELECT ancestor AS node, node AS descendant, min(depth) AS depth FROM anc GROUP BY node, ancestor
 """
 

@@ -504,7 +504,7 @@ def company_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dag_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
-    return o.filter(F.col("o_orderkey") > 0).select(
+    return o.select(
         F.col("o_orderkey").alias("child"),
         F.floor(F.col("o_orderkey") / 2).cast("long").alias("parent"))
 
@@ -512,7 +512,7 @@ def dag_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 DAG_EDGES_SQL = r"""
 dag_edges AS (
   SELECT o_orderkey AS child, CAST(floor(o_orderkey / 2) AS BIGINT) AS parent
-  FROM orders WHERE o_orderkey > 0)
+  FROM orders)
 """
 
 
