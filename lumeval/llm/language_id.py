@@ -51,52 +51,57 @@ class Network:
         """x: (batch, time) bytes; mask: same shape, 1 where a byte stands; y: class of each row."""
         p, H = self.p, self.hidden
         B, T = x.shape
-        states, gates = {}, {}
-        logits = np.broadcast_to(p["c"], (B, T, len(p["c"]))).copy()
-        for d in "fb":
-            order = range(T) if d == "f" else range(T - 1, -1, -1)
-            h = np.zeros((B, H), np.float32)
-            hs, gs = [None] * T, [None] * T
-            for t in order:
-                a, u = p["X" + d][x[:, t]], h @ p["U" + d]
-                r = np.clip(0.5 + 0.25 * (a[:, :H] + u[:, :H]), 0, 1)
-                z = np.clip(0.5 + 0.25 * (a[:, H:2 * H] + u[:, H:2 * H]), 0, 1)
-                v = np.clip(a[:, 2 * H:] + r * u[:, 2 * H:], -3, 3)
-                n = v * (27 + v * v) / (27 + 9 * v * v)
-                new = n + z * (h - n)
-                new = np.where(mask[:, t:t + 1] > 0, new, h)
-                gs[t] = (h, r, z, n, u[:, 2 * H:], v)
-                hs[t] = h = new
-            states[d], gates[d] = np.stack(hs, 1), gs
-            logits += states[d] @ p["V" + d]
+        # both directions at once, features before rows: the second reads the reversed rows, padding first
+        X, U = np.stack([p["Xf"], p["Xb"]]), np.stack([p["Uf"], p["Ub"]])
+        byte = np.stack([x, x[:, ::-1]]).transpose(2, 0, 1).astype(np.intp) + np.array([0, 256])[:, None]
+        on = np.stack([mask, mask[:, ::-1]]).transpose(2, 0, 1)[:, :, None]
+        a = np.ascontiguousarray(X.reshape(512, 3 * H)[byte].swapaxes(2, 3))
+        up = U.transpose(0, 2, 1).copy()
+        hs = np.zeros((T + 1, 2, H, B), X.dtype)
+        gate, un = np.empty((T, 2, 2 * H, B), X.dtype), np.empty((T, 2, H, B), X.dtype)
+        v, n = np.empty_like(un), np.empty_like(un)
+        for t in range(T):
+            h, u = hs[t], np.matmul(up, hs[t])
+            gate[t] = np.clip(0.5 + 0.25 * (a[t, :, :2 * H] + u[:, :2 * H]), 0, 1)
+            un[t] = u[:, 2 * H:]
+            v[t] = w = np.clip(a[t, :, 2 * H:] + gate[t, :, :H] * un[t], -3, 3)
+            q = w * w
+            n[t] = w * (27 + q) / (27 + 9 * q)
+            hs[t + 1] = np.where(on[t] > 0, n[t] + gate[t, :, H:] * (h - n[t]), h)
+        states = {"f": hs[1:, 0].swapaxes(1, 2).copy(), "b": hs[:0:-1, 1].swapaxes(1, 2).copy()}
+        logits = p["c"] + states["f"] @ p["Vf"] + states["b"] @ p["Vb"]  # (time, batch, classes)
         e = np.exp(logits - logits.max(-1, keepdims=True))
         prob = e / e.sum(-1, keepdims=True)
-        total = mask.sum()
-        loss = -(np.log(np.take_along_axis(prob, y[:, None, None], 2)[:, :, 0] + 1e-12) * mask).sum() / total
+        total, row = mask.sum(), np.arange(B)
+        loss = -(np.log(prob[:, row, y] + 1e-12) * mask.T).sum() / total
         dl = prob
-        np.put_along_axis(dl, y[:, None, None].repeat(T, 1), np.take_along_axis(dl, y[:, None, None], 2) - 1, 2)
-        dl = dl * (mask[:, :, None] / total)
-        grads = {k: np.zeros_like(v) for k, v in p.items()}
-        grads["c"] = dl.sum((0, 1))
+        dl[:, row, y] -= 1
+        dl = dl * (mask.T[:, :, None] / total)
+        grads = {"c": dl.sum((0, 1))}
         for d in "fb":
-            grads["V" + d] = np.einsum("bth,btc->hc", states[d], dl)
-            dh_out = dl @ p["V" + d].T
-            order = range(T - 1, -1, -1) if d == "f" else range(T)
-            back = np.zeros((B, H), np.float32)
-            for t in order:
-                h, r, z, n, un, v = gates[d][t]
-                on = mask[:, t:t + 1]
-                dh = back + dh_out[:, t]
-                dnew = dh * on
-                dz = dnew * (h - n) * ((z > 0) & (z < 1)).astype(z.dtype) * np.float32(0.25)
-                v = v * v
-                dn = dnew * (1 - z) * (9 * ((v - 9) / (27 + 9 * v)) ** 2)
-                dr = dn * un * ((r > 0) & (r < 1)).astype(r.dtype) * np.float32(0.25)
-                da = np.concatenate([dr, dz, dn], 1)
-                du = np.concatenate([dr, dz, dn * r], 1)
-                np.add.at(grads["X" + d], x[:, t], da)
-                grads["U" + d] += h.T @ du
-                back = dh * (1 - on) + dnew * z + du @ p["U" + d].T
+            grads["V" + d] = states[d].reshape(T * B, H).T @ dl.reshape(T * B, -1)
+        out = np.stack([dl @ p["Vf"].T, (dl @ p["Vb"].T)[::-1]], 1).swapaxes(2, 3).copy()
+        slope = 0.25 * ((gate > 0) & (gate < 1)).astype(X.dtype)
+        r, z, q = gate[:, :, :H], gate[:, :, H:], v * v
+        to_r, to_z = un * slope[:, :, :H], (hs[:-1] - n) * slope[:, :, H:]
+        to_n = (1 - z) * (9 * ((q - 9) / (27 + 9 * q)) ** 2)
+        da, du = np.empty_like(a), np.empty_like(a)
+        back = np.zeros((2, H, B), X.dtype)
+        for t in range(T - 1, -1, -1):
+            dh = back + out[t]
+            dnew = dh * on[t]
+            dn = dnew * to_n[t]
+            da[t, :, :H], da[t, :, H:2 * H], da[t, :, 2 * H:] = dn * to_r[t], dnew * to_z[t], dn
+            du[t, :, :2 * H], du[t, :, 2 * H:] = da[t, :, :2 * H], dn * r[t]
+            back = dh - dnew + dnew * z[t] + np.matmul(U, du[t])
+        flat = byte.ravel()
+        order = np.argsort(flat, kind="stable")
+        first = np.flatnonzero(np.diff(flat[order], prepend=-1))
+        dX = np.zeros((512, 3 * H), X.dtype)
+        dX[flat[order][first]] = np.add.reduceat(da.swapaxes(2, 3).reshape(-1, 3 * H)[order], first, axis=0)
+        for i, d in enumerate("fb"):
+            grads["X" + d] = dX[256 * i:256 * i + 256]
+            grads["U" + d] = np.matmul(hs[:-1, i], du[:, i].swapaxes(1, 2)).sum(0)
         return loss, grads
 
     def train(self, rows: list[tuple[bytes, int]], steps: int = 260, batch: int = 96, seed: int = 11, rate=0.02):
