@@ -288,7 +288,11 @@ def _token_rows(docs: DataFrame) -> DataFrame:
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, set_id for every row of ``docs`` (doc_id, text)."""
+    """doc_id, n_shingles, component_id, set_id, component for every row of ``docs`` (doc_id, text).
+
+    ``component_id`` is the smallest doc_id, which two components may share (null or repeated ids);
+    ``component`` is a set digest and names one component only.
+    """
     ws = Workspace(spark, "ngram_join")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select("doc_id", "text")
@@ -318,8 +322,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
                       .join(comps.withColumnRenamed("id", "cls"), "cls", "left")
                       .withColumn("component", F.coalesce("component", "cls")), "classes")
     lows = ws.save(classes.groupBy("component").agg(F.min("low").alias("component_id")), "lows")
-    named = ws.save(classes.join(lows, "component").select("cls", "component_id"), "named")
+    named = ws.save(classes.join(lows, "component").select("cls", "component_id", "component"), "named")
     return (profile.join(named, "cls", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-                    .alias("component_id"), F.col("cls").alias("set_id")))
+                    .alias("component_id"), F.col("cls").alias("set_id"), "component"))

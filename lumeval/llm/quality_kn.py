@@ -315,19 +315,19 @@ def perplexities(spark: SparkSession, docs: DataFrame, trusted: DataFrame, text:
 
 
 def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE,
-             slack: float = SLACK) -> DataFrame:
-    """doc_id, lang, n_chars_scored, perplexity, threshold, kept for every row of ``docs``.
+             slack: float = SLACK, keep: tuple = ("doc_id",)) -> DataFrame:
+    """``keep`` columns (doc_id among them), lang, n_chars_scored, perplexity, threshold, kept for every row of ``docs``.
 
     Trusted text: documents that ``labels`` gives quality 1; the threshold of a language is the
     ``quantile`` of its trusted documents' perplexity times ``slack``.
     """
     good = labels.filter("quality = 1").select("doc_id").distinct()
     trusted = docs.select("doc_id", "text", "lang").join(good, "doc_id", "left_semi")
-    scores = perplexities(spark, docs.select("doc_id", "text", "lang"), trusted)
+    scores = perplexities(spark, docs.select(*keep, "text", "lang"), trusted, keep=keep)
     marks = (scores.filter("perplexity is not null").join(good, "doc_id", "left_semi").groupBy("lang_group")
              .agg((F.percentile_approx("perplexity", quantile, 10000) * slack).alias("threshold")))
     return (scores.join(marks, "lang_group", "left")
-            .select("doc_id", F.col("lang_group").alias("lang"), (F.col("n_grams") - 1).alias("n_chars_scored"),
+            .select(*keep, F.col("lang_group").alias("lang"), (F.col("n_grams") - 1).alias("n_chars_scored"),
                     "perplexity", "threshold",
                     F.coalesce((F.col("perplexity") <= F.col("threshold"))
                                | (F.col("threshold").isNull() & F.col("perplexity").isNotNull()),

@@ -51,7 +51,7 @@ def op8_topk_search(spark, sf_dir):
 
 
 def op9_ngram_join(spark, sf_dir):
-    return jaccard_components(spark, read(spark, sf_dir, "documents")).drop("set_id")
+    return jaccard_components(spark, read(spark, sf_dir, "documents")).drop("set_id", "component")
 
 
 def op10_quality_kn(spark, sf_dir):

@@ -402,3 +402,18 @@ def test_pipeline_on_a_small_corpus(spark, tmp_path):
     assert all(clean <= s for s in ids[:3]) and 4 not in ids[0] and 11 not in ids[0]
     assert not {2, 3} & ids[2]
     assert P.packing(spark, docs, str(tmp_path)).count() > 0
+
+
+def test_pipeline_keeps_unrelated_rows_of_null_and_repeated_ids(spark, tmp_path):
+    import corpus_pipeline as P
+    good = {100 + i: text(100 + i, 60) for i in range(12)}
+    same = text(920, 60)
+    data = [*good.items(), (None, text(900, 60)), (None, text(901, 60)), (None, text(902, 60)), (None, "qzx7" * 60),
+            (5, text(910, 60)), (5, text(911, 60)), (5, "zq#9" * 60), (8, same), (7, same), (None, same), (7, same)]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in data], SCHEMA + ", source string, n_chars long")
+    spark.createDataFrame([(i, 1) for i in good], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    junk = {"qzx7" * 60, "zq#9" * 60}
+    got = sorted(((r.doc_id, r.text) for r in P.quality(spark, df, str(tmp_path)).collect()), key=key)
+    assert got == sorted((r for r in data if r[1] not in junk), key=key)
+    got = sorted(((r.doc_id, r.text) for r in P.near_duplicates(spark, df, str(tmp_path)).collect()), key=key)
+    assert got == sorted([r for r in data if r[1] != same] + [(7, same)], key=key)
