@@ -417,3 +417,12 @@ def test_pipeline_keeps_unrelated_rows_of_null_and_repeated_ids(spark, tmp_path)
     assert got == sorted((r for r in data if r[1] not in junk), key=key)
     got = sorted(((r.doc_id, r.text) for r in P.near_duplicates(spark, df, str(tmp_path)).collect()), key=key)
     assert got == sorted([r for r in data if r[1] != same] + [(7, same)], key=key)
+
+
+def test_lm_score_of_spaceless_text_grows_with_it(spark):
+    g = random.Random(3)
+    run = "".join(g.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(4000))
+    a, b, c = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 5 == 1][:3]  # held out: words not seen
+    data = [(i, text(i, 60), "en") for i in range(100, 112)] + [(a, run[:2000], "en"), (b, run, "en"), (c, run[::-1], "en")]
+    by = {r.doc_id: r.score for r in lm_score.score_texts(spark, spark.createDataFrame(data, SCHEMA)).collect()}
+    assert 1.7 < by[b] / by[a] < 2.3 and by[b] < -1000 and by[b] != by[c]
