@@ -426,3 +426,12 @@ def test_lm_score_of_spaceless_text_grows_with_it(spark):
     data = [(i, text(i, 60), "en") for i in range(100, 112)] + [(a, run[:2000], "en"), (b, run, "en"), (c, run[::-1], "en")]
     by = {r.doc_id: r.score for r in lm_score.score_texts(spark, spark.createDataFrame(data, SCHEMA)).collect()}
     assert 1.7 < by[b] / by[a] < 2.3 and by[b] < -1000 and by[b] != by[c]
+
+
+def test_lm_sample_holds_a_copied_text_once(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "SAMPLE_TEXTS", 40)
+    monkeypatch.setattr(lm_score, "Model", lambda texts, *_: texts)
+    for k in range(4):  # whichever text is the hot one
+        data = [(text(k, 30),)] * 300 + [(text(50 + i, 30),) for i in range(60)]
+        got = lm_score.fit(spark.createDataFrame(data, "text string"))
+        assert len(got) == len(set(got)) == 40
