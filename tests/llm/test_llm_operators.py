@@ -435,3 +435,18 @@ def test_lm_sample_holds_a_copied_text_once(spark, monkeypatch):
         data = [(text(k, 30),)] * 300 + [(text(50 + i, 30),) for i in range(60)]
         got = lm_score.fit(spark.createDataFrame(data, "text string"))
         assert len(got) == len(set(got)) == 40
+
+
+def test_lm_counts_cover_all_training_texts(spark, monkeypatch):
+    """Pairs of ids are counted in texts outside the network's sample, and beyond its window."""
+    from lumeval.llm.tokens import WordIds
+    monkeypatch.setattr(lm_score, "SAMPLE_TEXTS", 2)
+    monkeypatch.setattr(lm_score, "SAMPLE_CHARS", 40)
+    made, fit = [], lm_score.fit
+    monkeypatch.setattr(lm_score, "fit", lambda *a: made.append(fit(*a)) or made[0])
+    data = [(i, text(i, 80), "en") for i in range(100, 130)]
+    lm_score.score_texts(spark, spark.createDataFrame(data, SCHEMA)).collect()
+    learned = [t for i, t, _ in data if zlib.crc32(str(i).encode()) % 5 != 1]
+    ids, off, _ = lm_score.id_arrays(WordIds(), learned)
+    want = np.bincount(lm_score.before(ids, off), minlength=lm_score.VOCABULARY)
+    assert (made[0].total == want).all() and lm_score.SPAN - lm_score.CONTEXT >= 32
