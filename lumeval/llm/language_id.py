@@ -116,7 +116,7 @@ class Network:
         for step in range(1, steps + 1):
             x = np.zeros((batch, WINDOW), np.uint8)
             mask = np.zeros((batch, WINDOW), np.float32)
-            y = np.array([keys[i % len(keys)] for i in range(batch)])
+            y = np.array([keys[((step - 1) * batch + i) % len(keys)] for i in range(batch)])
             for i in range(batch):
                 pool = by[y[i]]
                 b = pool[g.integers(len(pool))]
@@ -205,10 +205,26 @@ def pooled(model: dict, data: np.ndarray, off: np.ndarray, rows: int = 2048) ->
     return total / np.maximum(sizes, 1)[:, None]
 
 
-def fit(train: DataFrame, text: str, lang: str, key: str,
-        per_lang: int = SAMPLE_PER_LANG, sample_bytes: int = SAMPLE_BYTES) -> tuple[list[str], dict | None]:
+def scrambled(texts: list[bytes], seed: int = 13) -> list[bytes]:
+    """Texts of no language: the characters of each in another order, or letters that the texts use, drawn evenly."""
+    g = np.random.default_rng(seed)
+    known = [b.decode("utf-8", "ignore") for b in texts]
+    letters = sorted({c for t in known for c in t if c.isalpha()} | set("abcdefghijklmnopqrstuvwxyz"))
+    out = []
+    for i, t in enumerate(known):
+        chars = [c if c.isspace() or i % 2 else letters[g.integers(len(letters))] for c in t]
+        if i % 2:
+            g.shuffle(chars)
+        out.append("".join(chars).encode())
+    return out
+
+
+def fit(train: DataFrame, text: str, lang: str, key: str, per_lang: int = SAMPLE_PER_LANG,
+        sample_bytes: int = SAMPLE_BYTES, reject: bool = False) -> tuple[list[str], dict | None]:
     """Languages and weights learned from ``train``.
 
+    ``reject`` adds ``und`` as the last language, learned from scrambled texts of the sample.
+
     The sample is bounded: about ``per_lang`` texts of each language, chosen by a hash of the
     key, and of each a window of ``sample_bytes`` bytes.  Counting the languages reads all rows.
     """
@@ -231,6 +247,9 @@ def fit(train: DataFrame, text: str, lang: str, key: str,
         seen[r["l"]] = seen.get(r["l"], 0) + 1
         if seen[r["l"]] <= per_lang and len(r["b"]):
             sample.append((bytes(r["b"]), langs.index(r["l"])))
+    if reject:
+        none = [b for b in scrambled([b for b, _ in sample]) if b]
+        langs, sample = [*langs, UND], sample + [(b, len(langs)) for b in none]
     return langs, Network(len(langs)).train(sample).frozen()
 
 

@@ -450,3 +450,25 @@ def test_lm_counts_cover_all_training_texts(spark, monkeypatch):
     ids, off, _ = lm_score.id_arrays(WordIds(), learned)
     want = np.bincount(lm_score.before(ids, off), minlength=lm_score.VOCABULARY)
     assert (made[0].total == want).all() and lm_score.SPAN - lm_score.CONTEXT >= 32
+
+
+def test_pipeline_rejects_unlearned_languages_and_noise(spark):
+    import corpus_pipeline as P
+    g = random.Random(8)
+    clean = [(i, text(i, 60, MOTS if i % 2 else WORDS), "fr" if i % 2 else "en") for i in range(1600)]
+    polish = "stary most przechodzi przez rzekę obok domu w którym mieszkają dziadkowie dziewczyny która codziennie".split()
+    other = [(5000 + i, text(i, 60, polish), None) for i in range(30)]
+    noise = [(6000 + i, "".join(g.choice("bcdfghjklmnpqrstvwxz ") for _ in range(300)), None) for i in range(30)]
+    df = spark.createDataFrame([(i, t, l, "s", len(t)) for i, t, l in clean + other + noise],
+                               SCHEMA + ", source string, n_chars long")
+    ids = [r.doc_id for r in P.language(spark, df, None).select("doc_id").collect()]
+    assert sum(i < 5000 for i in ids) >= 0.98 * len(clean)
+    assert sum(5000 <= i < 6000 for i in ids) <= 3 and sum(i >= 6000 for i in ids) <= 3
+
+
+def test_language_training_draws_every_class():
+    net, seen = language_id.Network(130, hidden=2), set()
+    grads = net.loss_and_grads
+    net.loss_and_grads = lambda x, mask, y: seen.update(y.tolist()) or grads(x, mask, y)
+    net.train([(b"abc", k) for k in range(130)], steps=2)
+    assert len(seen) == 130
