@@ -19,6 +19,33 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BLOCK = 1 << 20
+_SERIAL = (1 << 33) - 1
+
+
+def range_places(df: DataFrame, *order: Column | str) -> DataFrame:
+    """Rows in global order with ``_part`` (range partition) and ``_at`` (0-based place in it).
+
+    Both hold only within one execution: write or checkpoint the frame before
+    ``places_to_index``.  Rows equal in ``order`` stay in one partition; add a
+    tie-breaking column where one value may hold a large share of the rows.
+    """
+    return df.orderBy(*order).withColumns({
+        "_part": F.spark_partition_id(),
+        "_at": F.monotonically_increasing_id().bitwiseAND(F.lit(_SERIAL))})
+
+
+def places_to_index(placed: DataFrame, out_col: str = "idx") -> DataFrame:
+    """Global 0-based row numbers from a materialised ``range_places`` frame.
+
+    The running sum sees one row per range partition, and so does the
+    broadcast side of the join; the rows themselves are not shuffled.
+    """
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    names = [F.col(c) for c in placed.columns if c not in ("_part", "_at")]
+    return placed.join(F.broadcast(offsets), "_part").select(
+        *names, (F.col("_off") + F.col("_at")).cast("long").alias(out_col))
 
 
 def global_index(df: DataFrame, order_col: str, out_col: str = "idx",
