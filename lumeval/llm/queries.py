@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import fill_in_middle, sharding, token_alignment
 from .common import read
 from .embedding_dedup import near_duplicates
 from .html_extract import extract
@@ -58,9 +59,25 @@ def op10_quality_kn(spark, sf_dir):
     return classify(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_token_alignment(spark, sf_dir):
+    return token_alignment.align(spark, read(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark, sf_dir):
+    rows = fill_in_middle.transform(read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(fill_in_middle.restore("output", "form").cast("binary"), 256).alias("restored_sha256"))
+
+
+def op13_sharding(spark, sf_dir):
+    return sharding.shard(spark, read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_embedding_dedup, op3_lm_score, op4_language_id, op5_piece_codec, op6_packing,
-    op7_html_extract, op8_topk_search, op9_ngram_join, op10_quality_kn)}
+    op7_html_extract, op8_topk_search, op9_ngram_join, op10_quality_kn, op11_token_alignment, op12_fill_in_middle,
+    op13_sharding)}
 
 #: Floor, integer products and the ties of the top-k report are plain SQL.
 TOPK_SQL = """
@@ -78,4 +95,5 @@ r AS (
          vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
-ORACLE_SQL: dict[str, str] = {"op8_topk_search": TOPK_SQL}
+ORACLE_SQL: dict[str, str] = {"op8_topk_search": TOPK_SQL, "op12_fill_in_middle": fill_in_middle.ORACLE_SQL,
+                              "op13_sharding": sharding.oracle_sql()}
