@@ -12,9 +12,7 @@ the sum of theirs: a pair's document count is the sum over the first planes, its
 each weighed by its power of two.  A count is the same for all documents of a posting, so the postings carry it back:
 joined with their pair's count they go to their container, where each plane adds its weight to its documents.
 
-Both tokenizers treat a blank after a character that is no white space as a border (A by its split pattern, B since
-no piece goes on over a blank, which is verified on the model), so a text is encoded by such words, and a worker
-remembers short ones with their groups and links.  A task never holds more than one container.
+A batch of about 1 MiB of text is aligned at once over flat arrays; a task holds the pairs of one container.
 
 Defined results: null and empty texts, and texts whose joined A or B bytes differ from blank + text, have no tokens
 (zeros and an empty ``groups``); ids may be null or repeat, each row is a document; other columns are never read;
@@ -26,13 +24,12 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import re
-from collections import Counter
 from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,157 +42,132 @@ MODEL_A, MODEL_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 MARK = "▁"
 #: Documents of a container and bytes of text (a longer text is a container of its own).
 DOCS, BYTES = 8192, 8 << 20
-#: Longest word that is remembered, and the bytes of words and results that a worker remembers.
-LONGEST, REMEMBERED = 64, 128 << 20
-#: What may count as white space before a blank: no border there, so the widest sense of either tokenizer is safe.
-_SOFT = "[\\s\\x1c-\\x1f\\u180e\\u200b\\ufeff]"
-_INSIDE = re.compile(_SOFT + " ")
-_BORDER = re.compile(f"(?<!{_SOFT}) ")
-
-
-def words_of(text: str) -> list[str]:
-    """The words of blank + text, each without its first blank."""
-    if text[0] == " ":  # these blanks stand before the first word
-        n = len(text) - len(text.lstrip(" "))
-        first, *rest = words_of(text[n:]) if n < len(text) else [""]
-        return [text[:n] + first, *rest]
-    return _BORDER.split(text) if _INSIDE.search(text) else text.split(" ")
-
-
-class Word:
-    """A word's numbers of tokens, groups and links, its groups as text, and its linked id pairs with their numbers."""
-
-    __slots__ = ("n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times")
-
-    def __init__(self, a: list[int], b: list[int], size_a: list[int], size_b: list[int]):
-        self.n_a, self.n_b = len(a), len(b)
-        links, text = {}, []
-        i = j = k = m = 0  # the group's first tokens, and those met so far
-        at_a = at_b = self.n_links = 0
-        while k < len(a):
-            at_a += size_a[a[k]]
-            k += 1
-            while at_b < at_a:
-                at_b += size_b[b[m]]
-                m += 1
-            if at_b > at_a:
-                continue
-            if k - i == 1 and m - j == 1:
-                pair = a[i] << 32 | b[j]
-                links[pair] = links.get(pair, 0) + 1
-                self.n_links += 1
-                text.append(f"{a[i]}|{b[j]}")
-            else:
-                left, right = a[i:k], b[j:m]
-                times = Counter(right).items()
-                for x, n in Counter(left).items():
-                    for y, o in times:
-                        links[x << 32 | y] = links.get(x << 32 | y, 0) + n * o
-                self.n_links += len(left) * len(right)
-                text.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-            i, j = k, m
-        self.n_groups, self.groups = len(text), ";".join(text)
-        self.pairs, self.times = list(links), list(links.values())
+#: The file's split into words that the pattern of the public rank files gives, too.
+PLAIN_SPLIT = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+#: Bits of a document's number in its container.
+DOC_BITS = 16
+#: Links of a group beyond which equal tokens are counted before they are linked.
+WIDE = 4096
 
 
 class Aligner:
-    """Both tokenizers and the words met so far."""
+    """Both tokenizers and the bytes of their tokens."""
 
     def __init__(self, path_a: str | None = None, path_b: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
         path_a = path_a or public_tokenizers.path(MODEL_A)
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
+        self.ranks = None
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b or public_tokenizers.path(MODEL_B))
         byte_of = {c: b for b, c in enumerate(_BYTE_CHARS)}
         vocabulary = self.a.get_vocab(with_added_tokens=False)
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes_a[i] = bytes(map(byte_of.__getitem__, token)) if all(c in byte_of for c in token) else token.encode()
-        self.bytes_b, inner = [], False
-        for i in range(self.b.get_piece_size()):
-            piece = self.b.id_to_piece(i)
-            if self.b.is_byte(i):
-                self.bytes_b.append(bytes([int(piece[3:-1], 16)]))
-            else:
-                self.bytes_b.append(piece.replace(MARK, " ").encode())
-                inner |= MARK in piece.lstrip(MARK)
+        self.bytes_b = [bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i) else piece.replace(MARK, " ").encode()
+                        for i, piece in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
         with open(path_a, encoding="utf-8") as f:
             spec = json.load(f)
-        # words are independent: A splits by its pattern alone, no piece of B goes on over a blank
-        self.by_word = not inner and spec["normalizer"] is None and spec["pre_tokenizer"].get("use_regex", False)
-        self.size_a, self.size_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
-        lone = self.b.piece_to_id(MARK)
-        self.blank = [] if lone == self.b.unk_id() else [lone]
-        self.memory: dict[str, Word] = {}
-        self.held = 0
-
-    def encode(self, words: list[str]) -> list[Word | None]:
-        """Alignment of each word (its first blank left out); None where a tokenizer does not give its bytes back."""
-        out = []
-        left = [e.ids for e in self.a.encode_batch([" " + w for w in words], add_special_tokens=False)]
-        right = self.b.encode(words, num_threads=1)
-        for word, a, b in zip(words, left, right):
-            raw = b" " + word.encode()
-            b = b or self.blank  # the library gives nothing for an empty word, a lone blank within a text
-            if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
-                out.append(None)
-            else:
-                out.append(Word(a, b, self.size_a, self.size_b))
-        return out
-
-    def align(self, text: str | None) -> list[Word]:
-        """The words of a text; none if it has no tokens."""
-        if not text:
-            return []
-        if self.by_word:
-            words = words_of(text)
-            found = list(map(self.memory.get, words))
-            if None in found:
-                found = self._unknown(words, found)
-            if None not in found:
-                return found
-        found = self.encode([text])  # as a whole: the parts may differ and yet join to the same bytes
-        return found if found[0] is not None else []
-
-    def _unknown(self, words, found):
-        new = list(dict.fromkeys(w for w, f in zip(words, found) if f is None))
-        got = {}
-        for i in range(0, len(new), 4096):
-            got.update(zip(new[i:i + 4096], self.encode(new[i:i + 4096])))
-        short = {w: f for w, f in got.items() if f is not None and len(w) <= LONGEST}
-        size = sum(600 + 12 * len(w) for w in short)
-        if self.held + size > REMEMBERED:
-            self.memory, self.held = {}, 0
-        if size <= REMEMBERED:
-            self.memory.update(short)
-            self.held += size
-        return [got.get(w) if f is None else f for w, f in zip(words, found)]
-
-
-def document(words: list[Word]):
-    """(n_a, n_b, n_groups, n_links), groups, and the id pairs of a document with their numbers of links."""
-    distinct = Counter(words)
-    numbers = tuple(sum(n * getattr(w, name) for w, n in distinct.items())
-                    for name in ("n_a", "n_b", "n_groups", "n_links"))
-    groups = ";".join([w.groups for w in words])
-    pairs = np.array(list(chain.from_iterable([w.pairs for w in distinct])), np.int64)
-    links = np.array(list(chain.from_iterable([w.times for w in distinct])), np.int64)
-    links *= np.repeat(list(distinct.values()), [len(w.pairs) for w in distinct]) if words else 1
-    return numbers, groups, pairs, links
-
-
-def merge(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
-    """(pair, document, links) with one row per pair and document, in this order."""
-    pair, doc, links = (np.concatenate([p[i] for p in parts]) for i in range(3))
-    order = np.lexsort((doc, pair))
-    pair, doc, links = pair[order], doc[order], links[order]
-    if len(pair):
-        first = np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]) | (doc[1:] != doc[:-1])])
-        pair, doc, links = pair[first], doc[first], np.add.reduceat(links, first)
-    return pair, doc, links
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        if (spec["normalizer"] is None and spec["pre_tokenizer"] == PLAIN_SPLIT
+                and [vocabulary[x + y] for x, y in pairs] == list(range(256, 256 + len(pairs)))):
+            # merges in the order of their ids: the faster library with the file's tokens as ranks gives the same ids
+            ranks = {self.bytes_a[i]: i for i in range(256 + len(pairs))}
+            self.ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                                           special_tokens={})
+        self.size_a = np.array([len(b) for b in self.bytes_a], np.int64)
+        self.size_b = np.array([len(b) for b in self.bytes_b], np.int64)
+        #: Bits of a document's number and of a B id in a link's key.
+        self.bits_b = (len(self.bytes_b) - 1).bit_length()
+        if (len(self.bytes_a) - 1).bit_length() + self.bits_b > 63 - DOC_BITS:
+            raise ValueError("vocabularies too large for the keys of links")
+
+    def encode(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of each text by A and B; none where a tokenizer does not give the bytes of blank + text back."""
+        full = [" " + t if t else "" for t in texts]
+        left = (list(map(self.ranks.encode_ordinary, full)) if self.ranks else
+                [e.ids for e in self.a.encode_batch_fast(full, add_special_tokens=False)])
+        right = self.b.encode([t or "" for t in texts], num_threads=1)
+        for i, text in enumerate(full):
+            raw = text.encode()
+            if (b"".join(map(self.bytes_a.__getitem__, left[i])) != raw
+                    or b"".join(map(self.bytes_b.__getitem__, right[i])) != raw):
+                left[i], right[i] = [], []
+        return left, right
+
+    def align(self, texts: list[str | None]):
+        """(numbers, groups, keys, links) of a batch: per text its numbers of A tokens, B tokens, groups and links, its
+        groups as text, and every id pair that a text holds linked, as ascending keys
+        (A id, B id, place of the text), with how often it does."""
+        left, right = self.encode(texts)
+        size = np.array([[len(x) for x in left], [len(x) for x in right]], np.int64)
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64, n) for x, n in zip((left, right), size.sum(axis=1).tolist()))
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        # both cover the same bytes of each text, so one running count serves all texts, and a text's end is a cut
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        in_a, in_b = np.bincount(group_a, minlength=len(cuts)), np.bincount(group_b, minlength=len(cuts))
+        text_of = np.repeat(np.arange(len(texts)), size[0])[np.cumsum(in_a) - 1] if len(cuts) else cuts
+        numbers = np.stack([size[0], size[1], np.bincount(text_of, minlength=len(texts)),
+                            np.bincount(text_of, in_a * in_b, len(texts)).astype(np.int64)], axis=1)
+        keys, links = self._links(a, b, group_a, in_a, in_b, text_of)
+        return numbers, self._groups(a, b, in_a, in_b, numbers[:, 2]), keys, links
+
+    def _links(self, a, b, group_a, in_a, in_b, text_of):
+        first_b = np.cumsum(in_b) - in_b
+        narrow = in_a * in_b <= WIDE
+        chosen = np.flatnonzero(narrow[group_a])
+        group = group_a[chosen]
+        times = in_b[group]
+        owner = np.repeat(np.arange(len(group)), times)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(times) - times, times)
+        keys, links = np.unique(self._key(a[chosen][owner], b[(first_b[group])[owner] + place], text_of[group][owner]),
+                                return_counts=True)
+        found = [(keys, links.astype(np.int64))]
+        first_a = np.cumsum(in_a) - in_a
+        for g in np.flatnonzero(~narrow):
+            x, n = np.unique(a[first_a[g]:first_a[g] + in_a[g]], return_counts=True)
+            y, m = np.unique(b[first_b[g]:first_b[g] + in_b[g]], return_counts=True)
+            found.append((self._key(x[:, None], y[None, :], text_of[g]).ravel(), np.outer(n, m).ravel()))
+        return merge(found)
+
+    def _key(self, a, b, text):
+        return (a << self.bits_b | b) << DOC_BITS | text
+
+    @staticmethod
+    def _groups(a, b, in_a, in_b, per_text) -> pa.Array:
+        def lists(sizes, values):
+            return pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int64()), values)
+        text, comma, bar, semicolon = pa.large_string(), *(pa.scalar(c, pa.large_string()) for c in ",|;")
+        sides = [pc.binary_join(lists(n, pc.cast(pa.array(x), text)), comma) for n, x in ((in_a, a), (in_b, b))]
+        return pc.binary_join(lists(per_text, pc.binary_join_element_wise(*sides, bar)), semicolon)
+
+
+_ALIGNERS: dict[tuple, Aligner] = {}
+
+
+def aligner_of(path_a: str | None, path_b: str | None) -> Aligner:
+    """The aligner of this worker, loaded once for all tasks that it runs."""
+    if (path_a, path_b) not in _ALIGNERS:
+        _ALIGNERS[path_a, path_b] = Aligner(path_a, path_b)
+    return _ALIGNERS[path_a, path_b]
+
+
+def merge(parts: list[tuple[np.ndarray, np.ndarray]]):
+    """Keys in ascending order, each once, with the sum of its links."""
+    if len(parts) == 1:
+        return parts[0]
+    keys, links = (np.concatenate([p[i] for p in parts]) for i in range(2))
+    order = np.argsort(keys, kind="stable")
+    keys, links = keys[order], links[order]
+    if len(keys):
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        keys, links = keys[first], np.add.reduceat(links, first)
+    return keys, links
 
 
 def posting(pair: np.ndarray, doc: np.ndarray, docs: int):
@@ -238,50 +210,51 @@ def documents_of(dense: np.ndarray, bits: pa.Array):
 
 def _index(keep: list[str], names: list[str], path_a, path_b, with_groups: bool, limits: tuple[int, int]):
     def run(it):
-        aligner, part, serial = Aligner(path_a, path_b), TaskContext.get().partitionId(), 0
+        aligner, part, serial = aligner_of(path_a, path_b), TaskContext.get().partitionId(), 0
         kinds = {c: None for c in keep}
 
-        def table(n, columns):
+        def table(columns):
+            n = len(columns["container"])
             made = [columns[c] if c in columns else pa.nulls(n, kinds.get(c) or TYPES[c]) for c in names]
             return pa.RecordBatch.from_arrays(made, names=names)
 
-        def close(owners, values, parts, docs):
-            number = (part << 33) | serial
-            columns = {c: pa.array(v, kinds[c]) for c, v in zip(keep, zip(*owners))}
-            columns |= {c: pa.array(v, TYPES[c]) for c, v in zip(VALUES + ["groups"] * with_groups, zip(*values))}
-            columns |= {"container": pa.array(np.full(docs, number)), "doc": pa.array(np.arange(docs), pa.int32())}
-            yield table(docs, columns)
-            pair, doc, links = merge(parts)
+        def postings(parts, docs):
+            keys, links = merge(parts)
             extra = links - 1
             for plane in range(int(extra.max()).bit_length() + 1 if len(extra) else 0):
-                chosen = np.flatnonzero(extra >> (plane - 1) & 1) if plane else np.arange(len(pair))
-                if len(chosen) == 0:
-                    continue
-                ids, count, dense, bits = posting(pair[chosen], doc[chosen], docs)
-                yield table(len(ids), {
-                    "container": pa.array(np.full(len(ids), number)), "a": pa.array(ids >> 32, pa.int32()),
-                    "b": pa.array(ids & 0xFFFFFFFF, pa.int32()),
-                    "plane": pa.array(np.full(len(ids), plane, np.int32)),
-                    "population": pa.array(count, pa.int32()), "dense": pa.array(dense), "bits": bits})
-
-        owners, values, parts, size = [], [], [], 0
-        for batch in batches(it, "__text", 1 << 20):
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in keep]
-            kinds = {c: x.type for c, x in zip(keep, columns)}
-            texts = batch.column(batch.schema.get_field_index("__text"))
-            for owner, text in zip(zip(*[c.to_pylist() for c in columns]), texts):
-                text = text.as_py()
-                numbers, groups, pairs, links = document(aligner.align(text))
-                digest = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
-                values.append((*numbers, digest, *[groups] * with_groups))
-                parts.append((pairs, np.full(len(pairs), len(owners)), links))
-                owners.append(owner)
-                size += len(text or "")
-                if len(owners) == limits[0] or size >= limits[1]:
-                    yield from close(owners, values, parts, len(owners))
-                    owners, values, parts, size, serial = [], [], [], 0, serial + 1
-        if owners:
-            yield from close(owners, values, parts, len(owners))
+                chosen = np.flatnonzero(extra >> (plane - 1) & 1) if plane else np.arange(len(keys))
+                if len(chosen):
+                    pair, population, dense, bits = posting(keys[chosen] >> DOC_BITS,
+                                                            keys[chosen] & (1 << DOC_BITS) - 1, docs)
+                    yield table({
+                        "container": pa.array(np.full(len(pair), part << 33 | serial)),
+                        "a": pa.array(pair >> aligner.bits_b, pa.int32()),
+                        "b": pa.array(pair & (1 << aligner.bits_b) - 1, pa.int32()),
+                        "plane": pa.array(np.full(len(pair), plane, np.int32)),
+                        "population": pa.array(population, pa.int32()), "dense": pa.array(dense), "bits": bits})
+
+        parts, docs, size = [], 0, 0
+        for whole in batches(it, "__text", min(1 << 20, limits[1])):
+            at = 0
+            while at < whole.num_rows:
+                batch = whole.slice(at, limits[0] - docs)
+                texts = batch.column(batch.schema.get_field_index("__text")).to_pylist()
+                columns = {c: batch.column(batch.schema.get_field_index(c)) for c in keep}
+                kinds = {c: x.type for c, x in columns.items()}
+                numbers, groups, keys, links = aligner.align(texts)
+                digest = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups.to_pylist()]
+                columns |= {c: pa.array(numbers[:, i]) for i, c in enumerate(VALUES[:4])}
+                columns |= {"groups_sha256": pa.array(digest, pa.string()), "groups": groups.cast(pa.string()),
+                            "container": pa.array(np.full(len(texts), part << 33 | serial)),
+                            "doc": pa.array(np.arange(docs, docs + len(texts)), pa.int32())}
+                yield table(columns)
+                parts.append((keys + docs, links))
+                at, docs, size = at + len(texts), docs + len(texts), size + sum(len(t or "") for t in texts)
+                if docs == limits[0] or size >= limits[1]:
+                    yield from postings(parts, docs)
+                    parts, docs, size, serial = [], 0, 0, serial + 1
+        if docs:
+            yield from postings(parts, docs)
     return run
 
 

@@ -123,21 +123,26 @@ def test_alignment_does_not_depend_on_containers(spark, rows):
         assert ordered(T.align(spark, df, limits=limits).collect()) == want
 
 
-def test_words_are_encoded_as_within_the_whole_text(rows):
-    aligner = T.Aligner()
-    assert aligner.by_word
-    texts = [t for _, t in rows if t]
-    for text, groups in zip(texts, aligned(texts)):
-        got = ";".join(w.groups for w in aligner.align(text))
-        assert got == ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
+def groups_of(texts):
+    return [";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in g) for g in aligned(texts)]
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.text(st.sampled_from(list("ab' .\n\t\r  　▁é日😀\x1c0<>")), max_size=30))
-def test_word_borders_hold_for_any_text(text):
+@given(st.lists(st.text(st.sampled_from(list("ab' .\n\t\r  　▁é日😀\x1c0<>")), max_size=30), max_size=4))
+def test_any_batch_of_texts(texts):
     aligner = libraries()[2]
-    want = ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in aligned([text])[0])
-    assert ";".join(w.groups for w in aligner.align(text)) == want
+    numbers, groups, keys, links = aligner.align(texts)
+    assert groups.to_pylist() == groups_of(texts)
+    assert numbers[:, 3].sum() == links.sum() and len(set(keys.tolist())) == len(keys)
+
+
+def test_wide_groups_equal_narrow_ones(rows, monkeypatch):
+    """Groups whose tokens are counted before they are linked give the same links."""
+    texts = [t for _, t in rows]
+    want = libraries()[2].align(texts)
+    monkeypatch.setattr(T, "WIDE", 1)
+    got = libraries()[2].align(texts)
+    assert want[2].tolist() == got[2].tolist() and want[3].tolist() == got[3].tolist()
 
 
 def test_bitmaps_round_trip():
