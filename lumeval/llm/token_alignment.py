@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from itertools import chain
 
 import numpy as np
@@ -44,6 +45,8 @@ MARK = "▁"
 DOCS, BYTES = 8192, 8 << 20
 #: The file's split into words that the pattern of the public rank files gives, too.
 PLAIN_SPLIT = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+#: Runs for which the rank library's merges may take time beyond proportion.
+_LONG = re.compile(r"\S{4096}|\s{4096}")
 #: Bits of a document's number in its container.
 DOC_BITS = 16
 #: Links of a group beyond which equal tokens are counted before they are linked.
@@ -89,8 +92,8 @@ class Aligner:
     def encode(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of each text by A and B; none where a tokenizer does not give the bytes of blank + text back."""
         full = [" " + t if t else "" for t in texts]
-        left = (list(map(self.ranks.encode_ordinary, full)) if self.ranks else
-                [e.ids for e in self.a.encode_batch_fast(full, add_special_tokens=False)])
+        left = [self.ranks.encode_ordinary(t) if self.ranks and not _LONG.search(t) else
+                self.a.encode(t, add_special_tokens=False).ids for t in full]
         right = self.b.encode([t or "" for t in texts], num_threads=1)
         for i, text in enumerate(full):
             raw = text.encode()
