@@ -95,21 +95,41 @@ def quality(raw, threshold: float = 3.5) -> Column:
 
 
 def accept(raw) -> Column:
-    """C20: keep flag (JSON boolean only) and reasoning; bad JSON -> false
-    with a fixed reason."""
+    """C20: keep flag (JSON boolean only), reasoning and the numeric scores of the reply by name; bad JSON -> false
+    with a fixed reason and no scores."""
     j = F.from_json(_col(raw), "accept boolean, reasoning string")
     ok = json_ok(raw)
     return F.struct(
         F.when(ok, F.coalesce(j.getField("accept"), F.lit(False))).otherwise(F.lit(False)).alias("accept"),
-        F.when(ok, j.getField("reasoning")).otherwise(F.lit("Failed to parse validation")).alias("reasoning"))
+        F.when(ok, j.getField("reasoning")).otherwise(F.lit("Failed to parse validation")).alias("reasoning"),
+        F.when(ok, json_numbers(raw)).otherwise(F.create_map().cast("map<string,double>")).alias("scores"))
 
 
-def pass_verdict(raw, min_score: float = 4.0) -> Column:
-    """Pass flag and score; missing -> false / 0; pass needs both."""
-    j = F.from_json(_col(raw), "pass boolean, score double, issues array<string>")
+def json_numbers(raw) -> Column:
+    """The numeric top-level fields of a JSON object as a map; null if the text is no object."""
+    m = F.from_json(_col(raw), "map<string,string>")
+    kept = F.map_filter(m, lambda k, v: v.rlike(FLOAT_RE))
+    return F.transform_values(kept, lambda k, v: v.try_cast("double"))
+
+
+def first_missing(fields: list[str]) -> Column:
+    """Name of the first of the columns that is null, else null."""
+    return F.coalesce(*[F.when(F.col(f).isNull(), F.lit(f)) for f in fields])
+
+
+def pass_verdict(raw, min_score: float = 4.0, missing: Column | None = None) -> Column:
+    """struct(passed, score, issues); pass needs a truthy flag and the score.
+
+    A missing flag or score counts as false / 0.  ``missing`` names an input field that the judged row lacks: such
+    a row fails with score 0 whatever the reply says.  Bad JSON fails with a fixed issue.
+    """
+    j = F.from_json(_col(raw), "score double, issues array<string>")
     ok = json_ok(raw)
-    flag = F.when(ok, F.coalesce(j.getField("pass"), F.lit(False))).otherwise(F.lit(False))
+    flag = F.when(ok, json_truthy(raw, "pass")).otherwise(F.lit(False))
     score = F.when(ok, F.coalesce(j.getField("score"), F.lit(0.0))).otherwise(F.lit(0.0))
-    return F.struct((flag & (score >= F.lit(min_score))).alias("passed"), score.alias("score"),
-                    F.when(ok, j.getField("issues")).otherwise(
-                        F.array(F.lit("Failed to parse judge reply"))).alias("issues"))
+    issues = F.when(ok, j.getField("issues")).otherwise(F.array(F.lit("Failed to parse judge reply")))
+    if missing is not None:
+        lacking = missing.isNotNull()
+        flag, score = flag & ~lacking, F.when(lacking, F.lit(0.0)).otherwise(score)
+        issues = F.when(lacking, F.array(F.concat(F.lit("Missing "), missing))).otherwise(issues)
+    return F.struct((flag & (score >= F.lit(min_score))).alias("passed"), score.alias("score"), issues.alias("issues"))

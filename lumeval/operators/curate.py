@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import verdicts as V
 from ..functions.text import strip_py, word_count
-from .ordering import global_index
+from .ordering import range_index
 
 REQUIRED_FIELDS = ("question", "context", "reference_answer", "scenario")
 EXAMPLE_STRUCT = "question string, context string, reference_answer string"
@@ -147,7 +147,7 @@ def assign_ids(df: DataFrame, order_col: str = "seq", prefix_col: str = "scenari
                prefix: str = "synthetic_") -> DataFrame:
     """``{prefix}{scenario}_{i:03d}`` with ``i`` the global 0-based
     position in ``order_col`` order (``%03d`` widens past 999)."""
-    n = global_index(df, order_col, "_i")
+    n = range_index(df, order_col, "_i")
     return n.withColumn("id", F.concat(F.lit(prefix), F.col(prefix_col), F.lit("_"),
                                        F.format_string("%03d", F.col("_i")))).drop("_i")
 

@@ -20,9 +20,15 @@ def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent") ->
     """``(node, ancestor, depth)`` for every ancestor of every node,
     depth = shortest path length.  Cycles end: a pair is found once."""
     ensure_checkpoint_dir(edges.sparkSession)
-    e = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).distinct().checkpoint(eager=True)
+    every = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).distinct().checkpoint(eager=True)
+    # an edge to itself adds one pair and no path that is not there without it
+    own = every.filter(F.col("_c").eqNullSafe(F.col("_p")))
+    e = every.filter(~F.col("_c").eqNullSafe(F.col("_p")))
     forest = e.groupBy("_c").count().filter(F.col("count") > 1).isEmpty()
-    return _forest_ancestors(e) if forest else _dag_ancestors(e)
+    found = _forest_ancestors(e) if forest else _dag_ancestors(e)
+    own = own.select(F.col("_c").alias("node"), F.col("_p").alias("ancestor"), F.lit(1).alias("depth"))
+    return found.filter("node <> ancestor").unionByName(own).unionByName(
+        found.filter("node = ancestor").join(own, ["node", "ancestor"], "left_anti"))
 
 
 def _union(frames):
@@ -33,21 +39,27 @@ def _union(frames):
 
 
 def _forest_ancestors(e: DataFrame) -> DataFrame:
-    """One parent per node: pointer doubling, ``log2(depth) + 1`` rounds.
+    """One parent per node, no edge to itself: pointer doubling, ``log2(depth) + 1`` rounds.
 
     With ``A`` = all ancestors within distance ``span`` and ``exact`` = the
     ancestor at distance exactly ``span``, the ancestors at distances
     ``span+1 .. 2*span`` of ``x`` are those of ``exact(x)`` within ``span``.
-    On a cycle pairs come back after one turn; they are removed, so the
-    loop ends when a round finds no new pair."""
+    Without a cycle every pair is new.  A pair can come back only after a turn
+    of a cycle, whose nodes have by then met themselves; from that round on pairs already found are
+    removed, so the loop ends when a round finds no new pair."""
     exact = e.select(F.col("_c").alias("node"), F.col("_p").alias("mid"))
     found = [e.select(F.col("_c").alias("node"), F.col("_p").alias("ancestor"), F.lit(1).alias("depth"))]
-    span = 1
+    span, cycle = 1, False
     while True:
         acc = _union(found).select(F.col("node").alias("mid"), "ancestor", "depth")
-        seen = _union(found).select("node", "ancestor")
-        nxt = exact.join(acc, "mid").select("node", "ancestor", (F.col("depth") + span).alias("depth")) \
-            .join(seen, ["node", "ancestor"], "left_anti").checkpoint(eager=True)
+        nxt = exact.join(acc, "mid").select("node", "ancestor", (F.col("depth") + span).alias("depth"))
+        if not cycle:
+            nxt = nxt.checkpoint(eager=True)
+            cycle = not nxt.filter(F.col("node") == F.col("ancestor")).isEmpty()
+        if cycle:
+            seen = _union(found).select("node", "ancestor")
+            nxt = (nxt.groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
+                   .join(seen, ["node", "ancestor"], "left_anti").checkpoint(eager=True))
         if nxt.isEmpty():
             break
         found.append(nxt)

@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 DEFAULT_BLOCK = 1 << 20
 _SERIAL = (1 << 33) - 1
 
@@ -63,6 +65,18 @@ def global_index(df: DataFrame, order_col: str, out_col: str = "idx",
         (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_rn") - 1).cast("long").alias(out_col))
 
 
+def range_index(df: DataFrame, order_col: str, out_col: str = "idx") -> DataFrame:
+    """0-based position of each row in the order of ``order_col``, of any sortable type.
+
+    One range shuffle; the sorted rows are checkpointed, so their places hold.  Equal values (nulls first) are numbered
+    in no particular order, and are spread over partitions however many there are.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    tie = df.withColumn("_tie", F.xxhash64(F.monotonically_increasing_id()))
+    placed = range_places(tie, F.asc_nulls_first(order_col), F.asc("_tie")).drop("_tie").checkpoint(eager=True)
+    return places_to_index(placed, out_col)
+
+
 def running_total(df: DataFrame, keys: Sequence[str], order_col: str,
                   values: dict[str, Column], block: int = 1 << 16,
                   inclusive: bool = True) -> DataFrame:

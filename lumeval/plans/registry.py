@@ -69,6 +69,8 @@ QUERIES = {
     "rouge_l": mq.rouge_l,
     "bertscore": mq.bertscore,
     "benchmark_leaderboard": mq.benchmark_leaderboard,
+    "benchmark_board": mq.benchmark_board,
+    "metric_board": mq.metric_board,
     "dedup_near": cq.dedup_near,
     "guardrail_stream": gq.guardrail_stream,
     "lineage_descendants": lq.lineage_descendants,
@@ -130,6 +132,7 @@ ORACLE_SQL = {
     "explode_lines": lq.EXPLODE_LINES_SQL,
     "bleu_sentence": mq.BLEU_SENTENCE_SQL,
     "bertscore": mq.BERTSCORE_SQL,
+    "benchmark_board": mq.BENCHMARK_BOARD_SQL,
     "guardrail_stream": gq.GUARDRAIL_STREAM_SQL,
     "lineage_descendants": lq.LINEAGE_DESCENDANTS_SQL,
 }

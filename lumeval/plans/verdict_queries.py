@@ -121,42 +121,72 @@ FROM chk
 """)
 
 
+_SCORES = ("context_quality", "question_quality", "answer_correctness", "overall_usefulness")
+
+
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge replies beside the example that they judge (null fields if it is gone)."""
+    return X.verdict_json(spark, sf_dir).join(X.examples(spark, sf_dir).withColumnRenamed("seq", "id"), "id", "left")
+
+
 def accept_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C20 + D4: the accept flag and reasoning per reviewed row."""
-    v = X.verdict_json(spark, sf_dir)
-    a = V.accept("accept_raw")
-    return v.select("id", a.getField("accept").alias("accept"), a.getField("reasoning").alias("reasoning"))
+    """C20 + D4: the accept flag, reasoning and scores per reviewed row, with the original row."""
+    v = _judged(spark, sf_dir).withColumn("a", V.accept("accept_raw"))
+    return v.select("id", F.substring(F.coalesce("question", F.lit("")), 1, 50).alias("example_id"), "a.accept",
+                    "a.reasoning", *[F.try_element_at("a.scores", F.lit(k)).alias(k) for k in _SCORES],
+                    "question", "context", "reference_answer", "scenario")
 
 
-ACCEPT_VERDICT_SQL = X.with_ctes(X.VERDICT_JSON_SQL, body=r"""
-SELECT id,
+ACCEPT_VERDICT_SQL = X.with_ctes(X.VERDICT_JSON_SQL, X.EXAMPLES_SQL, body=r"""
+SELECT id, substr(coalesce(question, ''), 1, 50) AS example_id,
   CASE WHEN json_valid(accept_raw)
        THEN coalesce(TRY_CAST(json_extract(accept_raw, '$.accept') AS BOOLEAN), false)
        ELSE false END AS accept,
   CASE WHEN json_valid(accept_raw) THEN json_extract_string(accept_raw, '$.reasoning')
-       ELSE 'Failed to parse validation' END AS reasoning
-FROM verdict_json
+       ELSE 'Failed to parse validation' END AS reasoning,
+""" + "".join(f"  CASE WHEN json_valid(accept_raw) THEN TRY_CAST(json_extract_string(accept_raw, '$.{k}') AS DOUBLE) END"
+              f" AS {k},\n" for k in _SCORES) + r"""
+  question, context, reference_answer, scenario
+FROM verdict_json LEFT JOIN examples ON seq = id
 """)
 
 
+#: Fields that a judged row must have (fixed values).
+JUDGED_FIELDS = ["question", "context", "reference_answer", "scenario"]
+
+
 def pass_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C21 + D5: pass/fail split with the verdict attached (status column)."""
-    v = X.verdict_json(spark, sf_dir)
-    p = V.pass_verdict("pass_raw")
-    return v.select("id", p.getField("passed").alias("passed"), p.getField("score").alias("score"),
-                    F.when(p.getField("passed"), F.lit("passed")).otherwise(F.lit("failed")).alias("status"))
+    """C21 + D5: pass/fail split with the verdict attached (status column); rows that lack a field fail."""
+    v = _judged(spark, sf_dir)
+    p = V.pass_verdict("pass_raw", missing=V.first_missing(JUDGED_FIELDS))
+    v = v.withColumn("p", p)
+    return v.select("id", "p.passed", "p.score", F.array_join("p.issues", "; ").alias("issues"),
+                    F.when(F.col("p.passed"), F.lit("passed")).otherwise(F.lit("failed")).alias("status"))
+
+
+def _truthy_sql(raw: str, field: str) -> str:
+    kind, text = f"json_type({raw}, '$.{field}')", f"json_extract_string({raw}, '$.{field}')"
+    return (f"coalesce(CASE {kind} WHEN 'BOOLEAN' THEN {text} = 'true' WHEN 'VARCHAR' THEN {text} <> '' "
+            f"WHEN 'NULL' THEN false WHEN 'ARRAY' THEN {text} <> '[]' WHEN 'OBJECT' THEN {text} <> '{{}}' "
+            f"ELSE TRY_CAST({text} AS DOUBLE) <> 0 END, false)")
 
 
-PASS_VERDICT_SQL = X.with_ctes(X.VERDICT_JSON_SQL, body=r"""
+PASS_VERDICT_SQL = X.with_ctes(X.VERDICT_JSON_SQL, X.EXAMPLES_SQL, body=rf"""
 , p AS (
   SELECT id,
-    CASE WHEN json_valid(pass_raw) THEN coalesce(TRY_CAST(json_extract(pass_raw, '$.pass') AS BOOLEAN), false)
-         ELSE false END AS flag,
+    CASE WHEN question IS NULL THEN 'question' WHEN context IS NULL THEN 'context'
+         WHEN reference_answer IS NULL THEN 'reference_answer' WHEN scenario IS NULL THEN 'scenario' END AS missing,
+    CASE WHEN json_valid(pass_raw) THEN {_truthy_sql('pass_raw', 'pass')} ELSE false END AS flag,
     CASE WHEN json_valid(pass_raw) THEN coalesce(TRY_CAST(json_extract(pass_raw, '$.score') AS DOUBLE), 0.0)
-         ELSE 0.0 END AS score
-  FROM verdict_json)
-SELECT id, flag AND score >= 4.0 AS passed, score,
-  CASE WHEN flag AND score >= 4.0 THEN 'passed' ELSE 'failed' END AS status
+         ELSE 0.0 END AS score,
+    CASE WHEN json_valid(pass_raw)
+         THEN array_to_string(CAST(json_extract(pass_raw, '$.issues') AS VARCHAR[]), '; ')
+         ELSE 'Failed to parse judge reply' END AS issues
+  FROM verdict_json LEFT JOIN examples ON seq = id)
+SELECT id, missing IS NULL AND flag AND score >= 4.0 AS passed,
+  CASE WHEN missing IS NULL THEN score ELSE 0.0 END AS score,
+  CASE WHEN missing IS NULL THEN issues ELSE 'Missing ' || missing END AS issues,
+  CASE WHEN missing IS NULL AND flag AND score >= 4.0 THEN 'passed' ELSE 'failed' END AS status
 FROM p
 """)
 

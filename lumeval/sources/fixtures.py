@@ -424,6 +424,44 @@ token_embeddings AS (
   FROM embeddings)
 """
 
+# --------------------------------------------------------------------------
+# inputs of the benchmark board, keyed (id, variant) like the outputs: k div 3 is the id, k mod 3 the variant
+#   variant_tokens: token embeddings of pair k; variant_vectors: vector k and the next; variant_replies: judge reply k
+# --------------------------------------------------------------------------
+
+
+def _by_variant(df: DataFrame, k: str) -> DataFrame:
+    names = F.array(*[F.lit(v) for v in ("echo", "drop", "swap")])
+    return df.withColumns({"variant": F.get(names, (F.col(k) % 3).cast("int")),
+                           "id": F.floor(F.col(k) / 3).cast("long")})
+
+
+def variant_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_variant(token_embeddings(spark, sf_dir), "pair_id").select("id", "variant", "side", "pos", "vec")
+
+
+def variant_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read_table(spark, sf_dir, "embeddings")
+    a = e.select(F.col("vec_id").alias("k"), F.col("embedding").alias("reference_embedding"))
+    b = e.select((F.col("vec_id") - 1).alias("k"), F.col("embedding").alias("output_embedding"))
+    return _by_variant(a.join(b, "k"), "k").select("id", "variant", "reference_embedding", "output_embedding")
+
+
+def variant_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_variant(judge_raw(spark, sf_dir).withColumnRenamed("id", "k"), "k").select(
+        "id", "variant", F.col("raw").alias("accuracy_raw"), F.col("raw").alias("helpfulness_raw"))
+
+
+VARIANTS_SQL = r"""
+variant_tokens AS (SELECT pair_id // 3 AS id, ['echo', 'drop', 'swap'][pair_id % 3 + 1] AS variant, side, pos, vec
+                   FROM token_embeddings),
+variant_vectors AS (
+  SELECT a.vec_id // 3 AS id, ['echo', 'drop', 'swap'][a.vec_id % 3 + 1] AS variant,
+         CAST(a.embedding AS DOUBLE[]) AS a, CAST(b.embedding AS DOUBLE[]) AS b
+  FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1),
+variant_replies AS (SELECT id // 3 AS id, ['echo', 'drop', 'swap'][id % 3 + 1] AS variant, raw FROM judge_raw)
+"""
+
 # --------------------------------------------------------------------------
 # prices / price_requests / company info
 # --------------------------------------------------------------------------
