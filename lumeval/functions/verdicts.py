@@ -95,14 +95,18 @@ def quality(raw, threshold: float = 3.5) -> Column:
 
 
 def accept(raw) -> Column:
-    """C20: keep flag (JSON boolean only), reasoning and the numeric scores of the reply by name; bad JSON -> false
-    with a fixed reason and no scores."""
+    """C20: keep flag (JSON boolean only) and reasoning; bad JSON -> false
+    with a fixed reason."""
     j = F.from_json(_col(raw), "accept boolean, reasoning string")
     ok = json_ok(raw)
     return F.struct(
         F.when(ok, F.coalesce(j.getField("accept"), F.lit(False))).otherwise(F.lit(False)).alias("accept"),
-        F.when(ok, j.getField("reasoning")).otherwise(F.lit("Failed to parse validation")).alias("reasoning"),
-        F.when(ok, json_numbers(raw)).otherwise(F.create_map().cast("map<string,double>")).alias("scores"))
+        F.when(ok, j.getField("reasoning")).otherwise(F.lit("Failed to parse validation")).alias("reasoning"))
+
+
+def accept_scores(raw) -> Column:
+    """C20: the numeric scores of an accept reply by name; bad JSON -> none."""
+    return F.when(json_ok(raw), json_numbers(raw)).otherwise(F.create_map().cast("map<string,double>"))
 
 
 def json_numbers(raw) -> Column:

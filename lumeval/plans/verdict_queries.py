@@ -131,9 +131,9 @@ def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def accept_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C20 + D4: the accept flag, reasoning and scores per reviewed row, with the original row."""
-    v = _judged(spark, sf_dir).withColumn("a", V.accept("accept_raw"))
+    v = _judged(spark, sf_dir).withColumns({"a": V.accept("accept_raw"), "s": V.accept_scores("accept_raw")})
     return v.select("id", F.substring(F.coalesce("question", F.lit("")), 1, 50).alias("example_id"), "a.accept",
-                    "a.reasoning", *[F.try_element_at("a.scores", F.lit(k)).alias(k) for k in _SCORES],
+                    "a.reasoning", *[F.try_element_at("s", F.lit(k)).alias(k) for k in _SCORES],
                     "question", "context", "reference_answer", "scenario")
 
 
