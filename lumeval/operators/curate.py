@@ -171,10 +171,11 @@ def apply_decisions(sample: DataFrame, decisions: DataFrame, accepted: DataFrame
     d = d.withColumn("_stop", stop)
     kept = d.filter((F.col("decision") == "y") &
                     (F.col("_stop").isNull() | (F.col("sample_ord") < F.col("_stop"))))
-    kept = kept.select(*accepted.columns).cache()
-    if kept.count() > 0:  # one number to the driver
-        return kept
-    return accepted
+    kept = kept.select(*accepted.columns)
+    # one row if any was kept: the anti join on a constant then leaves none of the accepted rows
+    some = kept.select(F.lit(1).alias("_kept")).distinct()
+    rest = accepted.withColumn("_kept", F.lit(1)).join(F.broadcast(some), "_kept", "left_anti")
+    return kept.unionByName(rest.select(*accepted.columns))
 
 
 class EmptyStageError(RuntimeError):

@@ -190,3 +190,106 @@ EXPLODE_LINES_SQL = """
 SELECT conv_id, turn, CAST(line_no - 1 AS INTEGER) AS line_no, line
 FROM conversations, unnest(string_split(text, chr(10))) WITH ORDINALITY AS t(line, line_no)
 """
+
+
+def _published_chain(spark: SparkSession, sf_dir: str) -> str:
+    """Raw documents, their distinct texts and counts per language, each a published version made by a step that
+    records its edges; then a rerun on the same data, and both steps again after the raw data was extended."""
+    root = shared_dir(spark, f"catalog-{uuid.uuid4().hex}")
+    cols = ["lang", "source", "text"]
+    raw = read_table(spark, sf_dir, "documents").select(*cols)
+    items = read_table(spark, sf_dir, "benchmark").select(F.lit("en").alias("lang"), F.lit("benchmark").alias("source"),
+                                                          "text")
+
+    def distinct_texts(d):
+        return d.filter(F.col("text").rlike(r"\S")).dropDuplicates(cols)
+
+    CAT.publish(raw, "raw", root)
+    for i, latest in enumerate((raw, raw, raw.unionByName(items))):
+        if i == 2:
+            CAT.publish(latest, "raw", root)
+        CAT.run_step(spark, root, f"prepare-{i}", [("raw", "latest")], "texts", distinct_texts)
+        CAT.run_step(spark, root, f"count-{i}", [("texts", "latest"), ("raw", "latest")], "languages", _per_language)
+    return root
+
+
+def _per_language(texts: DataFrame, raw: DataFrame) -> DataFrame:
+    """Texts and raw rows per language."""
+    n = raw.groupBy("lang").agg(F.count(F.lit(1)).alias("n_raw"))
+    return texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n_texts")).join(n, "lang")
+
+
+_CHAIN_SQL = r"""
+raw_1 AS (SELECT lang, source, text FROM documents),
+raw_2 AS (SELECT * FROM raw_1 UNION ALL SELECT 'en', 'benchmark', text FROM benchmark),
+texts_1 AS (SELECT DISTINCT * FROM raw_1 WHERE regexp_matches(text, '\S')),
+texts_2 AS (SELECT DISTINCT * FROM raw_2 WHERE regexp_matches(text, '\S')),
+languages_1 AS (SELECT lang, count(*) AS n FROM texts_1 WHERE lang IS NOT NULL GROUP BY lang),
+languages_2 AS (SELECT lang, count(*) AS n FROM texts_2 WHERE lang IS NOT NULL GROUP BY lang),
+versions AS (
+  SELECT 'raw' AS name, 1 AS version, (SELECT count(*) FROM raw_1) AS n_rows
+  UNION ALL SELECT 'raw', 2, (SELECT count(*) FROM raw_2)
+  UNION ALL SELECT 'texts', 1, (SELECT count(*) FROM texts_1)
+  UNION ALL SELECT 'texts', 2, (SELECT count(*) FROM texts_2)
+  UNION ALL SELECT 'languages', 1, (SELECT count(*) FROM languages_1)
+  UNION ALL SELECT 'languages', 2, (SELECT count(*) FROM languages_2))
+"""
+
+
+def publish_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 + A5: versions published by a chain of steps; unchanged content makes no new version."""
+    v = CAT.read_versions(spark, _published_chain(spark, sf_dir))
+    return v.select("name", "version", "n_rows")
+
+
+PUBLISH_VERSIONS_SQL = X.with_ctes(_CHAIN_SQL, body="""
+SELECT name, CAST(version AS BIGINT) AS version, n_rows FROM versions
+""")
+
+
+def lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edges that the steps recorded, as artifact versions with their sizes."""
+    root = _published_chain(spark, sf_dir)
+    v = CAT.read_versions(spark, root)
+    size = v.select(F.concat("name", F.lit(":"), F.col("version").cast("string")).alias("node"), "n_rows")
+    return (CAT.artifact_edges(spark, root)
+            .join(size.select(F.col("node").alias("child"), F.col("n_rows").alias("child_rows")), "child")
+            .join(size.select(F.col("node").alias("parent"), F.col("n_rows").alias("parent_rows")), "parent")
+            .select("run_id", "child", "parent", "child_rows", "parent_rows"))
+
+
+LINEAGE_EDGES_SQL = X.with_ctes(_CHAIN_SQL, body="""
+, e(run_id, cname, cv, pname, pv) AS (
+  SELECT 'prepare-' || i, 'texts', v, 'raw', v FROM (VALUES (0, 1), (1, 1), (2, 2)) r(i, v)
+  UNION ALL SELECT 'count-' || i, 'languages', v, 'texts', v FROM (VALUES (0, 1), (1, 1), (2, 2)) r(i, v)
+  UNION ALL SELECT 'count-' || i, 'languages', v, 'raw', v FROM (VALUES (0, 1), (1, 1), (2, 2)) r(i, v))
+SELECT run_id, cname || ':' || cv AS child, pname || ':' || pv AS parent, c.n_rows AS child_rows,
+       p.n_rows AS parent_rows
+FROM e JOIN versions c ON c.name = cname AND c.version = cv JOIN versions p ON p.name = pname AND p.version = pv
+""")
+
+
+def version_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: multiset difference between two published versions: all documents' (lang, source, size class), then
+    those of the labelled documents and the benchmark items."""
+    root = shared_dir(spark, f"catalog-{uuid.uuid4().hex}")
+    docs = read_table(spark, sf_dir, "documents")
+    size = F.floor(F.char_length("text") / 1000).cast("long").alias("size")
+    labelled = docs.join(read_table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+    items = read_table(spark, sf_dir, "benchmark").select(F.lit(None).cast("string").alias("lang"),
+                                                          F.lit("benchmark").alias("source"), size)
+    CAT.publish(docs.select("lang", "source", size), "sizes", root)
+    CAT.publish(labelled.select("lang", "source", size).unionByName(items), "sizes", root)
+    return CAT.version_diff(spark, root, "sizes", 1, 2)
+
+
+VERSION_DIFF_SQL = """
+WITH one AS (SELECT lang, source, length(text) // 1000 AS size FROM documents),
+two AS (
+  SELECT lang, source, length(text) // 1000 AS size FROM documents SEMI JOIN labels USING (doc_id)
+  UNION ALL SELECT NULL, 'benchmark', length(text) // 1000 FROM benchmark),
+more AS (SELECT * FROM two EXCEPT ALL SELECT * FROM one),
+less AS (SELECT * FROM one EXCEPT ALL SELECT * FROM two)
+SELECT lang, source, size, 'added' AS change, count(*) AS n_copies FROM more GROUP BY ALL
+UNION ALL SELECT lang, source, size, 'removed', count(*) FROM less GROUP BY ALL
+"""

@@ -74,6 +74,9 @@ QUERIES = {
     "dedup_near": cq.dedup_near,
     "guardrail_stream": gq.guardrail_stream,
     "lineage_descendants": lq.lineage_descendants,
+    "publish_versions": lq.publish_versions,
+    "lineage_edges": lq.lineage_edges,
+    "version_diff": lq.version_diff,
 }
 
 ORACLE_SQL = {
@@ -135,4 +138,7 @@ ORACLE_SQL = {
     "benchmark_board": mq.BENCHMARK_BOARD_SQL,
     "guardrail_stream": gq.GUARDRAIL_STREAM_SQL,
     "lineage_descendants": lq.LINEAGE_DESCENDANTS_SQL,
+    "publish_versions": lq.PUBLISH_VERSIONS_SQL,
+    "lineage_edges": lq.LINEAGE_EDGES_SQL,
+    "version_diff": lq.VERSION_DIFF_SQL,
 }

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import hashlib
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,14 +84,18 @@ def publish(df: DataFrame, name: str, root: str, published_at: str | None = None
     return version
 
 
-def read_version(spark: SparkSession, root: str, name: str, version: int | str = "latest") -> DataFrame:
-    """Read one published version (``latest`` resolves to the highest)."""
+def resolve_version(spark: SparkSession, root: str, name: str, version: int | str = "latest") -> int:
+    """The number of a version (``latest``: the highest that was published)."""
     if version == "latest":
-        v = read_versions(spark, root).filter(F.col("name") == name).agg(F.max("version")).first()[0]
-        if v is None:
+        version = read_versions(spark, root).filter(F.col("name") == name).agg(F.max("version")).first()[0]
+        if version is None:
             raise KeyError(f"no published version of {name!r}")
-        version = int(v)
-    return spark.read.parquet(f"{root}/datasets/name={name}/version={version}")
+    return int(version)
+
+
+def read_version(spark: SparkSession, root: str, name: str, version: int | str = "latest") -> DataFrame:
+    """Read one published version (``latest`` resolves to the highest)."""
+    return spark.read.parquet(f"{root}/datasets/name={name}/version={resolve_version(spark, root, name, version)}")
 
 
 def log_edge(spark: SparkSession, root: str, run_id: str, direction: str, name: str, version: int) -> None:
@@ -117,6 +121,44 @@ def read_edges(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame([], EDGES_SCHEMA)
 
 
+def artifact_edges(spark: SparkSession, root: str) -> DataFrame:
+    """J1 -> J4: (run_id, child, parent) of every run: what it produced and each version that it used."""
+    edges = read_edges(spark, root)
+    label = F.concat("name", F.lit(":"), F.col("version").cast("string"))
+    made, used = (edges.filter(F.col("direction") == d).select("run_id", label.alias(c))
+                  for d, c in (("produces", "child"), ("uses", "parent")))
+    return made.join(used, "run_id").distinct()
+
+
+def run_step(spark: SparkSession, root: str, run_id: str, uses: Sequence[tuple[str, int | str]], produces: str,
+             build: Callable[..., DataFrame], published_at: str | None = None) -> int:
+    """A2/A5 with J1: one pipeline step.
+
+    ``build`` gets a frame per (name, version) of ``uses``, each resolved once, so that ``latest`` names the same version in
+    the rows and in the record; its result is published and all edges of the run are written in one
+    append after it, so a failed step leaves none.  Unchanged content records the version that holds it.
+    """
+    resolved = [(name, resolve_version(spark, root, name, version)) for name, version in uses]
+    version = publish(build(*[read_version(spark, root, n, v) for n, v in resolved]), produces, root, published_at)
+    log_edges(spark, root, [(run_id, "uses", n, v) for n, v in resolved] + [(run_id, "produces", produces, version)])
+    return version
+
+
+def version_diff(spark: SparkSession, root: str, name: str, old: int | str, new: int | str = "latest") -> DataFrame:
+    """Multiset difference of two versions: each distinct row that one holds more often than the other, ``change`` (added
+    or removed) and ``n_copies``, by how many.
+
+    One aggregate over both, so a row that makes up a third of a version is added up before the shuffle; nulls equal
+    nulls; a column that only one version has is null in the other.
+    """
+    one, two = (read_version(spark, root, name, v) for v in (old, new))
+    both = one.withColumn("_sign", F.lit(-1)).unionByName(two.withColumn("_sign", F.lit(1)), allowMissingColumns=True)
+    cols = [c for c in both.columns if c != "_sign"]
+    n = both.groupBy(*cols).agg(F.sum("_sign").alias("_n")).filter(F.col("_n") != 0)
+    return n.select(*cols, F.when(F.col("_n") > 0, "added").otherwise("removed").alias("change"),
+                    F.abs("_n").alias("n_copies"))
+
+
 def write_text_artifact(df: DataFrame, text_col: str, split_col: str, path: str) -> None:
     """Write rows as text files in ``split=<value>`` folders (a directory artifact)."""
     df.select(F.col(text_col).alias("value"), F.col(split_col).alias("split")) \

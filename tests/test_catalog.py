@@ -90,3 +90,37 @@ def test_ancestors_of_requested_nodes(spark):
     got = sorted(ancestors_of(e, want).collect())
     full = sorted(r for r in ancestors(e).collect() if r["node"] in (150, 7))
     assert got == full
+
+
+def test_version_diff_is_a_multiset_difference(spark, scratch):
+    root = f"{scratch}/catalog"
+    one = [("a", 1), ("a", 1), ("a", 1), (None, 2), ("b", None), ("c", 3)]
+    two = [("a", 1), (None, 2), (None, 2), ("d", 4), ("c", 3), ("c", 3)]
+    for rows in (one, two):
+        C.publish(spark.createDataFrame(rows, "k string, v long"), "t", root)
+    got = {(r.k, r.v): (r.change, r.n_copies) for r in C.version_diff(spark, root, "t", 1).collect()}
+    assert got == {("a", 1): ("removed", 2), (None, 2): ("added", 1), ("b", None): ("removed", 1), ("c", 3): ("added", 1),
+                   ("d", 4): ("added", 1)}
+    assert C.version_diff(spark, root, "t", 2, 2).isEmpty()
+    C.publish(spark.createDataFrame([("a", 1, True)], "k string, v long, w boolean"), "t", root)
+    assert C.version_diff(spark, root, "t", 2, "latest").filter("w").count() == 1
+
+
+def test_run_step_records_its_edges(spark, scratch):
+    import pytest
+    root = f"{scratch}/catalog"
+    C.publish(spark.range(5), "raw", root)
+    double = lambda d: d.select((F.col("id") * 2).alias("id"))
+    assert C.run_step(spark, root, "r1", [("raw", "latest")], "even", double) == 1
+    assert C.run_step(spark, root, "r2", [("raw", 1)], "even", double) == 1  # same content
+    C.publish(spark.range(6), "raw", root)
+    assert C.run_step(spark, root, "r3", [("raw", "latest"), ("even", 1)], "even", lambda a, b: double(a)) == 2
+    with pytest.raises(ZeroDivisionError):
+        C.run_step(spark, root, "r4", [("raw", 1)], "bad", lambda d: 1 / 0)
+    with pytest.raises(KeyError):
+        C.run_step(spark, root, "r5", [("none", "latest")], "bad", double)
+    edges = C.artifact_edges(spark, root)
+    assert sorted(map(tuple, edges.collect())) == [("r1", "even:1", "raw:1"), ("r2", "even:1", "raw:1"),
+                                                   ("r3", "even:2", "even:1"), ("r3", "even:2", "raw:2")]
+    up = {(r.node, r.ancestor, r.depth) for r in ancestors(edges).collect()}
+    assert ("even:2", "raw:1", 2) in up and ("even:2", "raw:2", 1) in up
