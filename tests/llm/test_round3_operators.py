@@ -245,3 +245,15 @@ def test_large_row_numbers():
     rising = sum(x < y for x, y in zip(places, places[1:]))
     assert 1850 < rising < 2150
     assert S.locate(7, 4000, seed=1) != S.locate(7, 4000, seed=2)
+
+
+def test_vectors_of_any_finite_length_are_linked(spark):
+    """Squares that overflow or underflow: the cosine decides."""
+    from lumeval.llm import embedding_dedup
+    rows = [(1, "a", [1e200, 1e200]), (2, "a", [1e200, 1e200]), (3, "a", [1e-200, 1e-200]), (4, "a", [3.0, 3.0]),
+            (5, "a", [1e300, -1e300]), (6, "a", [5e-324, 0.0]), (7, "a", [2.0, 0.0]), (8, "a", [0.0, 0.0]),
+            (9, "b", [1.0, 1.0]), (10, "a", [-1e-300, 1e-300])]
+    df = spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(spark, df).collect()}
+    assert got == {1: (3, 1, True), 2: (3, 1, False), 3: (3, 1, False), 4: (3, 1, False), 5: (0, 5, True), 6: (1, 6, True),
+                   7: (1, 6, False), 8: (0, 8, True), 9: (0, 9, True), 10: (0, 10, True)}
