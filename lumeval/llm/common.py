@@ -7,6 +7,8 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -189,3 +191,27 @@ def batches(reader, column: str, limit: int = 1 << 20):
             j = max(i + 1, int(np.searchsorted(off, off[i] + limit, side="right")) - 1)
             yield batch.slice(i, j - i)
             i = j
+
+
+def blocks(df: DataFrame, column: str, shard_bytes: int, level: int = 3) -> DataFrame:
+    """Rows as compressed blocks (shard, block) of about 1 MiB of text; a shard is a run of blocks of one task.
+
+    Shards depend on the tasks that read ``df``: save the result before it is used twice.
+    """
+    def run(it):
+        part, size = TaskContext.get().partitionId(), 0
+        z = zstandard.ZstdCompressor(level=level)
+        for batch in batches(it, column):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema) as writer:
+                writer.write_batch(batch)
+            raw = sink.getvalue().to_pybytes()
+            yield pa.RecordBatch.from_arrays([pa.array([(part << 24) | (size // shard_bytes)], pa.int64()),
+                                              pa.array([z.compress(raw)], pa.binary())], names=["shard", "block"])
+            size += len(raw)
+    return df.mapInArrow(run, "shard long, block binary")
+
+
+def open_block(block: bytes) -> pa.RecordBatch:
+    with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(block)) as reader:
+        return reader.read_all().combine_chunks().to_batches()[0]
