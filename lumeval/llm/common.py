@@ -193,22 +193,26 @@ def batches(reader, column: str, limit: int = 1 << 20):
             i = j
 
 
-def blocks(df: DataFrame, column: str, shard_bytes: int, level: int = 3) -> DataFrame:
+def blocks(df: DataFrame, column: str, shard_bytes: int, level: int = 3, extend=None) -> DataFrame:
     """Rows as compressed blocks (shard, block) of about 1 MiB of text; a shard is a run of blocks of one task.
 
+    ``extend()``, called once in a task, gives a function that adds columns to a block's rows.
     Shards depend on the tasks that read ``df``: save the result before it is used twice.
     """
     def run(it):
         part, size = TaskContext.get().partitionId(), 0
-        z = zstandard.ZstdCompressor(level=level)
+        z, more = zstandard.ZstdCompressor(level=level), extend() if extend else None
         for batch in batches(it, column):
+            at = (part << 24) | (size // shard_bytes)
+            size += batch.column(batch.schema.get_field_index(column)).nbytes
+            if more:
+                batch = more(batch)
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, batch.schema) as writer:
                 writer.write_batch(batch)
-            raw = sink.getvalue().to_pybytes()
-            yield pa.RecordBatch.from_arrays([pa.array([(part << 24) | (size // shard_bytes)], pa.int64()),
-                                              pa.array([z.compress(raw)], pa.binary())], names=["shard", "block"])
-            size += len(raw)
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()),
+                                              pa.array([z.compress(sink.getvalue().to_pybytes())], pa.binary())],
+                                             names=["shard", "block"])
     return df.mapInArrow(run, "shard long, block binary")
 
 

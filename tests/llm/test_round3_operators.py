@@ -8,12 +8,15 @@ import random
 import re
 import zlib
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from lumeval.llm import common, lm_score
 from lumeval.llm import fill_in_middle as M
 from lumeval.llm import sharding as S
 from lumeval.llm import token_alignment as T
@@ -257,3 +260,37 @@ def test_vectors_of_any_finite_length_are_linked(spark):
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(spark, df).collect()}
     assert got == {1: (3, 1, True), 2: (3, 1, False), 3: (3, 1, False), 4: (3, 1, False), 5: (0, 5, True), 6: (1, 6, True),
                    7: (1, 6, False), 8: (0, 8, True), 9: (0, 9, True), 10: (0, 10, True)}
+
+
+def test_lm_log_probs_equal_forward_with_small_and_large_weights():
+    g = np.random.default_rng(4)
+    x, y = g.integers(0, 7, (5, lm_score.SPAN)), g.integers(0, 6, (5, lm_score.SPAN))
+    for times in (1, 16):  # 16: logits far beyond SAFE, of which 32-bit floats keep fewer decimals
+        net = lm_score.Attention(6)
+        net.p = {k: w * np.float32(times) for k, w in net.p.items()}
+        for first in (0, lm_score.CONTEXT):
+            want = np.take_along_axis(net.forward(x, first)[0], y[:, first:, None], 2)[..., 0]
+            assert np.allclose(net.log_probs(x, y, first), want, rtol=1e-3, atol=1e-3)
+
+
+def test_lm_stored_ids_and_shard_counts_equal_direct_ones(spark, monkeypatch):
+    monkeypatch.setattr(common, "batches", lambda it, c: (b.slice(i, 2) for b in it for i in range(0, b.num_rows, 2)))
+    texts = ["a b  a b", None, "", "Hello, world\nhello", "z" * 3000, "a b", " "]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    direct = lm_score.id_arrays(lm_score.WordIds(), texts)
+    for got, want in zip(lm_score.stored_ids(lm_score._encoder(None)(batch)), direct):
+        assert (got == want).all()
+    rows = [(i, i % 2 == 0, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, learn boolean, text string").selectExpr(
+        "doc_id", "false AS held_out", "int(learn) AS learn", "text").coalesce(1)
+    made = common.blocks(docs, "text", 64, extend=lambda: lm_score._encoder(None))
+    got = {}
+    for r in made.mapInArrow(lm_score._shard_counts(), "shard long, kind int, word long, c long").collect():
+        got[r.kind, r.word] = got.get((r.kind, r.word), 0) + r.c
+    ids, off, _ = direct
+    pairs, learn = lm_score.before(ids, off) * lm_score.VOCABULARY + ids, np.repeat([r[1] for r in rows], np.diff(off))
+    want = {}
+    for k, on in zip(pairs.tolist(), learn.tolist()):
+        want[k] = want.get(k, 0) + on
+    assert {w: c for (kind, w), c in got.items() if kind == 1} == want
+    assert sum(c for (kind, _), c in got.items() if kind == 0) == sum(len((t or "").split()) for _, on, t in rows if on)
