@@ -67,6 +67,7 @@ QUERIES = {
     "explode_lines": lq.explode_lines,
     "bleu_sentence": mq.bleu_sentence,
     "rouge_l": mq.rouge_l,
+    "stem_dictionary": mq.stem_dictionary,
     "bertscore": mq.bertscore,
     "benchmark_leaderboard": mq.benchmark_leaderboard,
     "benchmark_board": mq.benchmark_board,
@@ -134,6 +135,7 @@ ORACLE_SQL = {
     "predict_constant": lq.PREDICT_CONSTANT_SQL,
     "explode_lines": lq.EXPLODE_LINES_SQL,
     "bleu_sentence": mq.BLEU_SENTENCE_SQL,
+    "stem_dictionary": mq.STEM_DICTIONARY_SQL,
     "bertscore": mq.BERTSCORE_SQL,
     "benchmark_board": mq.BENCHMARK_BOARD_SQL,
     "guardrail_stream": gq.GUARDRAIL_STREAM_SQL,
