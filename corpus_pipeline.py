@@ -17,17 +17,17 @@ from lumeval.llm.quality_kn import classify
 from lumeval.llm.suffix_dedup import remove_repeats
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Share of labelled texts, not trained on and rightly predicted, that a language's score limit may reject.
+#: Share of labelled texts, rightly predicted, that a language's score limit may reject.
 SCORE_QUANTILE = 0.005
 
 
-def score_limits(docs, langs, model):
-    """Least score of each language: the SCORE_QUANTILE of the scores of ``docs`` that are rightly predicted.
+def score_limits(scored, langs):
+    """Least score of each language: the SCORE_QUANTILE of the scores of all texts that are rightly predicted.
 
     With fewer than 1 / SCORE_QUANTILE of them the quantile over all languages stands in, and without enough
     of these half the way from the score of mere chance to 1, below which no limit lies.
     """
-    scored = predict(docs, "text", langs, model, ["lang"]).filter("lang_pred = lang")
+    scored = scored.filter("lang_pred = lang")
     rows = (scored.rollup("lang_pred").agg(F.percentile_approx("score", SCORE_QUANTILE, 10000).alias("q"),
                                            F.count("*").alias("n")).collect())
     known = {r["lang_pred"]: r["q"] for r in rows if r["n"] * SCORE_QUANTILE >= 1}
@@ -38,15 +38,16 @@ def score_limits(docs, langs, model):
 def language(spark, docs, sf_dir):
     """Keeps documents in a recognised language; ``lang`` stays as given.
 
-    Buckets 2 to 4 of the ids train the network, bucket 1 sets the limits, bucket 0 is held out.  A single
-    learned language is told apart from scrambled text only.
+    Buckets 2 to 4 of the ids train the network; all labelled documents set the
+    limits, from the one prediction that is then filtered.  A single learned language is told apart from
+    scrambled text only.
     """
-    bucket = id_bucket("doc_id")
-    langs, model = fit(docs.filter(bucket >= 2), "text", "lang", "doc_id", reject=True)
+    langs, model = fit(docs.filter(id_bucket("doc_id") >= 2), "text", "lang", "doc_id", reject=True)
     out = predict(docs, "text", langs, model, COLUMNS)
     if model is None:
         return out.limit(0).select(*COLUMNS)
-    limits = score_limits(docs.filter(bucket == 1), langs, model)
+    out = Workspace(spark, "language").save(out, "scored")
+    limits = score_limits(out, langs)
     limit = F.create_map(*[F.lit(v) for pair in limits.items() for v in pair])[F.col("lang_pred")]
     return out.filter((F.col("lang_pred") != UND) & (F.col("score") >= limit)).select(*COLUMNS)
 
