@@ -1,7 +1,7 @@
 """Lineage records and graph queries.
 
 Edges are a plain ``(child, parent)`` table.  All ancestors with their
-minimum depth come from a loop of joins, each round checkpointed to the
+minimum depth come from a loop of joins, each round written once to the
 shared checkpoint folder so the plan stays short and a lost executor only
 recomputes one round: pointer doubling when every node has one parent
 (rounds = log2 of the depth), breadth-first frontier rounds otherwise.
@@ -12,20 +12,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import Rounds
 from .joins import broadcast_if_small
 
 
 def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
     """``(node, ancestor, depth)`` for every ancestor of every node,
     depth = shortest path length.  Cycles end: a pair is found once."""
-    ensure_checkpoint_dir(edges.sparkSession)
-    every = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).distinct().checkpoint(eager=True)
+    rounds = Rounds(edges.sparkSession, "lineage")
+    every = rounds.save(edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).distinct())
     # an edge to itself adds one pair and no path that is not there without it
     own = every.filter(F.col("_c").eqNullSafe(F.col("_p")))
     e = every.filter(~F.col("_c").eqNullSafe(F.col("_p")))
     forest = e.groupBy("_c").count().filter(F.col("count") > 1).isEmpty()
-    found = _forest_ancestors(e) if forest else _dag_ancestors(e)
+    found = _forest_ancestors(e, rounds) if forest else _dag_ancestors(e, rounds)
     own = own.select(F.col("_c").alias("node"), F.col("_p").alias("ancestor"), F.lit(1).alias("depth"))
     return found.filter("node <> ancestor").unionByName(own).unionByName(
         found.filter("node = ancestor").join(own, ["node", "ancestor"], "left_anti"))
@@ -38,7 +38,7 @@ def _union(frames):
     return out
 
 
-def _forest_ancestors(e: DataFrame) -> DataFrame:
+def _forest_ancestors(e: DataFrame, rounds: Rounds) -> DataFrame:
     """One parent per node, no edge to itself: pointer doubling, ``log2(depth) + 1`` rounds.
 
     With ``A`` = all ancestors within distance ``span`` and ``exact`` = the
@@ -54,22 +54,22 @@ def _forest_ancestors(e: DataFrame) -> DataFrame:
         acc = _union(found).select(F.col("node").alias("mid"), "ancestor", "depth")
         nxt = exact.join(acc, "mid").select("node", "ancestor", (F.col("depth") + span).alias("depth"))
         if not cycle:
-            nxt = nxt.checkpoint(eager=True)
+            nxt = rounds.save(nxt)
             cycle = not nxt.filter(F.col("node") == F.col("ancestor")).isEmpty()
         if cycle:
             seen = _union(found).select("node", "ancestor")
-            nxt = (nxt.groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
-                   .join(seen, ["node", "ancestor"], "left_anti").checkpoint(eager=True))
+            nxt = rounds.save(nxt.groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
+                              .join(seen, ["node", "ancestor"], "left_anti"))
         if nxt.isEmpty():
             break
         found.append(nxt)
         span *= 2
         step = exact.select(F.col("node").alias("mid"), F.col("mid").alias("far"))
-        exact = exact.join(step, "mid").select("node", F.col("far").alias("mid")).checkpoint(eager=True)
+        exact = rounds.save(exact.join(step, "mid").select("node", F.col("far").alias("mid")))
     return _union(found)
 
 
-def _dag_ancestors(e: DataFrame) -> DataFrame:
+def _dag_ancestors(e: DataFrame, rounds: Rounds) -> DataFrame:
     """Several parents: breadth-first frontier rounds (rounds = depth); pairs
     already found are removed each round so every pair keeps its first
     (shortest) depth and no path is expanded twice."""
@@ -79,8 +79,8 @@ def _dag_ancestors(e: DataFrame) -> DataFrame:
     while True:
         nxt = frontier.join(e, frontier["ancestor"] == e["_c"]).select(
             "node", F.col("_p").alias("ancestor"), (F.col("depth") + 1).alias("depth"))
-        nxt = nxt.groupBy("node", "ancestor").agg(F.min("depth").alias("depth")) \
-            .join(seen, ["node", "ancestor"], "left_anti").checkpoint(eager=True)
+        nxt = rounds.save(nxt.groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
+                          .join(seen, ["node", "ancestor"], "left_anti"))
         if nxt.isEmpty():
             break
         found.append(nxt)
@@ -128,19 +128,19 @@ def ancestors_of(edges: DataFrame, nodes: DataFrame, node_col: str = "node", chi
                  parent: str = "parent") -> DataFrame:
     """Ancestors of requested artifacts only: the frontier starts from
     ``nodes``, so the work follows their lineage, not the whole graph."""
-    ensure_checkpoint_dir(edges.sparkSession)
+    rounds = Rounds(edges.sparkSession, "lineage")
     e = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).distinct()
     start = nodes.select(F.col(node_col).alias("node")).distinct()
-    frontier = start.join(e, start["node"] == e["_c"]).select(
-        "node", F.col("_p").alias("ancestor"), F.lit(1).alias("depth")).checkpoint(eager=True)
+    frontier = rounds.save(start.join(e, start["node"] == e["_c"]).select(
+        "node", F.col("_p").alias("ancestor"), F.lit(1).alias("depth")))
     found, seen = [frontier], frontier.select("node", "ancestor")
     while True:
         if frontier.isEmpty():
             break
         nxt = frontier.join(e, frontier["ancestor"] == e["_c"]).select(
             "node", F.col("_p").alias("ancestor"), (F.col("depth") + 1).alias("depth"))
-        nxt = nxt.groupBy("node", "ancestor").agg(F.min("depth").alias("depth")) \
-            .join(seen, ["node", "ancestor"], "left_anti").checkpoint(eager=True)
+        nxt = rounds.save(nxt.groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
+                          .join(seen, ["node", "ancestor"], "left_anti"))
         found.append(nxt)
         seen = seen.unionByName(nxt.select("node", "ancestor"))
         frontier = nxt

@@ -25,7 +25,7 @@ Plan:
    dropped; a row whose earlier candidates were all compared and none is
    similar is kept.  The similarity graph is never materialised, so a dense
    cluster of near copies costs ``front^2`` plus its size in comparisons.
-   Each round is checkpointed to the shared checkpoint folder.
+   Each round is written once to the shared checkpoint folder, and the one before removed.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tok
-from ..session import ensure_checkpoint_dir
+from ..session import Rounds
 from .joins import broadcast_if_small
 
 VOCAB_BROADCAST_ROWS = 1_000_000  # (token, count) rows: tens of MB at most
@@ -86,10 +86,11 @@ def resolve_front_rounds(reps: DataFrame, num: int, den: int, front: int = 256)
     comparisons instead of all its pairs.
     """
     UNDECIDED, KEPT, NEW_KEPT, DROPPED = 0, 1, 2, 3
-    pre = prefix_rows(reps, num, den).checkpoint(eager=True)
-    plen = pre.groupBy("seq").agg(F.count(F.lit(1)).alias("plen")).checkpoint(eager=True)
+    rounds = Rounds(reps.sparkSession, "neardup")
+    pre = rounds.save(prefix_rows(reps, num, den))
+    plen = rounds.save(pre.groupBy("seq").agg(F.count(F.lit(1)).alias("plen")))
     sets = reps.select("seq", "toks")
-    status = reps.select("seq", F.lit(UNDECIDED).alias("st")).checkpoint(eager=True)
+    status = rounds.save(reps.select("seq", F.lit(UNDECIDED).alias("st")))
     len_ok = ((F.col("nb") * den >= F.col("na") * num) & (F.col("na") * den >= F.col("nb") * num))
     global LAST_ROUNDS
     LAST_ROUNDS = 0
@@ -114,26 +115,27 @@ def resolve_front_rounds(reps: DataFrame, num: int, den: int, front: int = 256)
         inter = F.size(F.array_intersect("ta", "tb"))
         union = F.size(F.array_union("ta", "tb"))
         sim = cand.join(sa, "a").join(sb, "b").filter(inter * den > union * num).select("a", "b")
-        sim = sim.join(status.select(F.col("seq").alias("a"), F.col("st").alias("sa")), "a")
+        sim = rounds.save(sim.join(status.select(F.col("seq").alias("a"), F.col("st").alias("sa")), "a"))  # read twice
         nb = sim.groupBy(F.col("b").alias("seq")).agg(
             F.max(F.col("sa").isin(KEPT, NEW_KEPT).cast("int")).alias("has_kept"),
             F.max((F.col("sa") == UNDECIDED).cast("int")).alias("has_open"))
-        st1 = status.join(nb, "seq", "left").join(complete, "seq", "left").select(
+        st1 = rounds.save(status.join(nb, "seq", "left").join(complete, "seq", "left").select(
             "seq",
             F.when(F.col("st") == NEW_KEPT, F.lit(KEPT))
             .when(F.col("st") != UNDECIDED, F.col("st"))
             .when(F.coalesce(F.col("has_kept"), F.lit(0)) == 1, F.lit(DROPPED))
             .when(F.coalesce(F.col("complete"), F.lit(False)) & (F.coalesce(F.col("has_open"), F.lit(0)) == 0),
                   F.lit(NEW_KEPT))
-            .otherwise(F.lit(UNDECIDED)).alias("st")).checkpoint(eager=True)
+            .otherwise(F.lit(UNDECIDED)).alias("st")))
         # same-round propagation: a row similar to a row kept in this round is
         # dropped now instead of one round later
         now_kept = st1.filter(F.col("st") == NEW_KEPT).select(F.col("seq").alias("a"))
         hit = sim.join(now_kept, "a").select(F.col("b").alias("seq")).distinct() \
             .withColumn("_hit", F.lit(True))
-        status = st1.join(hit, "seq", "left").select(
+        last, status = status, rounds.save(st1.join(hit, "seq", "left").select(
             "seq", F.when(F.col("_hit") & (F.col("st") == UNDECIDED), F.lit(DROPPED))
-            .otherwise(F.col("st")).alias("st")).checkpoint(eager=True)
+            .otherwise(F.col("st")).alias("st")))
+        rounds.drop(last, st1, sim)
         if status.filter(F.col("st") == UNDECIDED).isEmpty():
             break
     return status.select("seq", F.col("st").isin(KEPT, NEW_KEPT).alias("kept"))
@@ -142,15 +144,15 @@ def resolve_front_rounds(reps: DataFrame, num: int, den: int, front: int = 256)
 def near_dup_keep(df: DataFrame, order_col: str = "seq", text_col: str = "text",
                   threshold: float = 0.9, front: int = 256) -> DataFrame:
     """``(order_col, kept)`` for every row of ``df``."""
-    ensure_checkpoint_dir(df.sparkSession)
     num, den = _fraction(threshold)
     sets = token_sets(df, order_col, text_col)
     if num >= den:  # Jaccard never exceeds 1: nothing is a duplicate
         return sets.select(F.col("seq").alias(order_col), F.lit(True).alias("kept"))
     sets = sets.withColumn("_key", F.sha2(F.array_join(F.array_sort("toks"), "\u0001"), 256))
     nonempty = sets.filter(F.col("n") > 0)
-    reps = nonempty.groupBy("_key").agg(F.min_by(F.struct("seq", "toks", "n"), F.col("seq")).alias("r")) \
-        .select("r.seq", "r.toks", "r.n").checkpoint(eager=True)
+    reps = Rounds(df.sparkSession, "neardup").save(
+        nonempty.groupBy("_key").agg(F.min_by(F.struct("seq", "toks", "n"), F.col("seq")).alias("r"))
+        .select("r.seq", "r.toks", "r.n"))
     rep_status = resolve_front_rounds(reps, num, den, front)
     out = sets.select("seq").join(rep_status, "seq", "left") \
         .join(sets.filter(F.col("n") == 0).select("seq", F.lit(True).alias("_empty")), "seq", "left")
