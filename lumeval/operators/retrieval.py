@@ -40,9 +40,9 @@ def _unit_matrix(t: pa.Table) -> np.ndarray:
     mat = flat.reshape(len(col), -1)
     norms = np.linalg.norm(mat, axis=1)
     with np.errstate(invalid="ignore", divide="ignore"):
-        out = mat / norms[:, None]
-    out[norms == 0] = np.nan  # cosine undefined: never retrieved
-    return out
+        mat /= norms[:, None]  # ``flat`` is a copy
+    mat[norms == 0] = np.nan  # cosine undefined: never retrieved
+    return mat
 
 
 def _cell_topk(k: int, exclude_self: bool, carry: list[str], q_carry: list[str]):
@@ -73,7 +73,7 @@ def _cell_topk(k: int, exclude_self: bool, carry: list[str], q_carry: list[str])
                 parts.append(part[part.groupby("q").cumcount() < k])
             best = pd.concat(parts)
             qi, ci, score = best["q"].to_numpy(), best["c"].to_numpy(), best["score"].to_numpy()
-        left, right = qs.take(pa.array(qi)), cs.take(pa.array(ci))
+        left, right = (t.drop_columns(["_vec"]).take(pa.array(i)) for t, i in ((qs, qi), (cs, ci)))
         return pa.table([left.column("q"), right.column("chunk_id"), right.column("pos"), pa.array(score, pa.float64()),
                          *[right.column(c) for c in carry], *[left.column(f"q_{c}") for c in q_carry]], names=names)
     return run

@@ -75,3 +75,36 @@ def test_pairs_of_repeated_ids(spark, tmp_path):
     got = sorted((r.reference, r.output) for r in rows.filter("variant = 'swap' and id = 1").collect())
     assert got == [("a b c", "b a c"), ("a b c", "e d"), ("d e", "b a c"), ("d e", "e d")]
     assert rows.count() == 15
+
+
+def test_rounds_compute_once_and_drop(spark, tmp_path):
+    from lumeval.session import Rounds
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(it):
+        for batch in it:
+            seen.add(batch.num_rows)
+            yield batch
+    rounds = Rounds(spark, "test_rounds")
+    out = rounds.save(spark.range(50).mapInArrow(run, "id long"))
+    assert sorted(r.id for r in out.collect()) == list(range(50)) and seen.value == 50
+    rounds.drop(out)
+
+
+def test_cell_takes_no_vector_with_the_hits():
+    from lumeval.operators.retrieval import _cell_topk
+    n, d = 2000, 512
+    vec = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * d), pa.array(np.random.default_rng(2).normal(size=n * d)))
+    ids = pa.array(np.arange(n))
+    qs = pa.table({"q": ids, "_self": ids.cast(pa.string()), "_vec": vec})
+    cs = pa.table({"chunk_id": ids, "_self": ids.cast(pa.string()), "pos": ids, "_vec": vec})
+    before = pa.default_memory_pool().max_memory()
+    assert _cell_topk(3, True, [], [])(qs, cs).num_rows == 3 * n
+    assert pa.default_memory_pool().max_memory() - before < vec.nbytes
+
+
+def test_language_limits_come_from_all_documents(spark):
+    import corpus_pipeline as P
+    rows = [(i, "en", "en", 0.80 if i < 10 else 0.99) for i in range(1000)] + [(i, "de", "en", 0.1) for i in range(50)]
+    got = P.score_limits(spark.createDataFrame(rows, "doc_id long, lang string, lang_pred string, score double"), ["en", "und"])
+    assert got["en"] == 0.80 and set(got) == {"en", "und"}
