@@ -38,7 +38,7 @@ def _union(frames):
     return out
 
 
-def _forest_ancestors(e: DataFrame, rounds: Rounds) -> DataFrame:
+def _forest_ancestors(e: DataFrame, rounds: Rounds | None = None) -> DataFrame:
     """One parent per node, no edge to itself: pointer doubling, ``log2(depth) + 1`` rounds.
 
     With ``A`` = all ancestors within distance ``span`` and ``exact`` = the
@@ -47,6 +47,7 @@ def _forest_ancestors(e: DataFrame, rounds: Rounds) -> DataFrame:
     Without a cycle every pair is new.  A pair can come back only after a turn
     of a cycle, whose nodes have by then met themselves; from that round on pairs already found are
     removed, so the loop ends when a round finds no new pair."""
+    rounds = rounds or Rounds(e.sparkSession, "lineage")
     exact = e.select(F.col("_c").alias("node"), F.col("_p").alias("mid"))
     found = [e.select(F.col("_c").alias("node"), F.col("_p").alias("ancestor"), F.lit(1).alias("depth"))]
     span, cycle = 1, False
@@ -69,10 +70,11 @@ def _forest_ancestors(e: DataFrame, rounds: Rounds) -> DataFrame:
     return _union(found)
 
 
-def _dag_ancestors(e: DataFrame, rounds: Rounds) -> DataFrame:
+def _dag_ancestors(e: DataFrame, rounds: Rounds | None = None) -> DataFrame:
     """Several parents: breadth-first frontier rounds (rounds = depth); pairs
     already found are removed each round so every pair keeps its first
     (shortest) depth and no path is expanded twice."""
+    rounds = rounds or Rounds(e.sparkSession, "lineage")
     frontier = e.select(F.col("_c").alias("node"), F.col("_p").alias("ancestor"), F.lit(1).alias("depth"))
     found = [frontier]
     seen = frontier.select("node", "ancestor")
