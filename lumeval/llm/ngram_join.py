@@ -298,8 +298,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     profile = ws.save(shingle_profile(docs, ["doc_id"]), "profile")
     edges = (_signatures(docs).repartition(parts, "sig").sortWithinPartitions("sig", "cls")
-             .mapInArrow(_family_edges, "u long, v long").distinct())
-    family = ws.save(connected(spark, ws, ws.save(edges, "family_edges")), "family")
+             .mapInArrow(_family_edges, "u long, v long"))
+    family = ws.save(connected(spark, ws, edges), "family")
     sizes = ws.save(family.groupBy("component").agg(F.count("*").alias("g")), "sizes")
     family = family.join(sizes, "component")
 
@@ -315,8 +315,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
              .select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                      "block", "cls", "tokens"))
     links = (tiles.repartition(parts, "component", "i", "j").sortWithinPartitions("component", "i", "j")
-             .mapInArrow(_search, "u long, v long").distinct())
-    comps = ws.save(connected(spark, ws, ws.save(links, "links")), "components")
+             .mapInArrow(_search, "u long, v long"))
+    comps = ws.save(connected(spark, ws, links), "components")
 
     classes = ws.save(profile.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("low"))
                       .join(comps.withColumnRenamed("id", "cls"), "cls", "left")
