@@ -1,11 +1,15 @@
-"""Connected components in few tables."""
+"""Connected components in few tables, and texts that the language model encodes once."""
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 
-from lumeval.llm import common
+from lumeval.llm import common, lm_score
 
 
 def components(edges):
@@ -61,3 +65,42 @@ def test_contraction_keeps_components():
         want = [(x, low) for x, low in components(zip(u.tolist(), v.tolist())) if x != low]
         assert sorted(zip(got[0].tolist(), got[1].tolist())) == want
     assert all(len(x) == 0 for x in common.smallest_reached(np.zeros(0, np.int64), np.zeros(0, np.int64)))
+
+
+TEXTS = ["Ein Wort, ein WORT. ein  Wort", None, "", "x" * 700, " \n", "naïve café 漢字 \U0001f600", "the end", "the\x0bend the"]
+
+
+def test_encoded_texts_give_the_same_ids():
+    words = lm_score.HashedWords(None)
+    for texts in (TEXTS, TEXTS[::-1], [None], [""], [], [" ".join(f"w{i} W{i % 9}" for i in range(70_000))]):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+        want = words.of(batch.column(1))
+        z = zstandard.ZstdCompressor()
+        rows, terms = (common.open_block(common.closed_block(b, z)) if b.num_rows else b for b in words.encoded(batch))
+        ids, off, lens, low, at, counts = lm_score.decoded(rows, terms)
+        for a, b in zip((ids, off, lens, low[at], counts), want):
+            assert a.tolist() == b.tolist()
+        assert rows.schema.names == ["doc_id", "words"] and terms.num_rows == len(np.unique(at))
+
+
+def test_only_the_counting_pass_encodes(monkeypatch):
+    n = len(TEXTS)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(n), pa.int64()), pa.array([0, 1] * (n // 2)), pa.array([3, 5] * (n // 2), pa.int32()), pa.array(TEXTS)],
+        names=["doc_id", "learn", "step", "text"])
+    block = common.closed_block(batch, zstandard.ZstdCompressor())
+    source = pa.RecordBatch.from_arrays([pa.array([7], pa.int64()), pa.array([block], pa.binary())], names=["shard", "block"])
+    plain = pa.Table.from_batches(lm_score._shard_counts(None)(iter([source])))
+    out = pa.Table.from_batches(lm_score._shard_counts(None, True)(iter([source]))).to_pylist()
+    key = ("shard", "kind", "word", "c")
+    assert [tuple(r[k] for k in key) for r in out if r["kind"] < 2] == [tuple(r.values()) for r in plain.to_pylist()]
+    made = [r for r in out if r["kind"] == 2]
+    assert len(made) == 1 and made[0]["shard"] == 7
+    ids, off, _ = lm_score.id_arrays(lm_score.WordIds(), TEXTS[1::2])
+    monkeypatch.setattr(lm_score, "HashedWords", None)
+    cls = np.arange(lm_score.VOCABULARY) % 40
+    given = pa.RecordBatch.from_arrays([pa.array([made[0][k]], pa.binary()) for k in ("block", "terms")], names=["block", "terms"])
+    got = pa.Table.from_batches(lm_score._step_windows(SimpleNamespace(value=cls))(iter([given]))).to_pylist()
+    want = lm_score.class_windows(cls[ids], off, lm_score.SINGLES + lm_score.CLUSTERS)[0]
+    assert [r["step"] for r in got] == [5]
+    assert zstandard.ZstdDecompressor().decompress(got[0]["windows"]) == want.tobytes()
