@@ -27,8 +27,9 @@ def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent") ->
     forest = e.groupBy("_c").count().filter(F.col("count") > 1).isEmpty()
     found = _forest_ancestors(e, rounds) if forest else _dag_ancestors(e, rounds)
     own = own.select(F.col("_c").alias("node"), F.col("_p").alias("ancestor"), F.lit(1).alias("depth"))
-    return found.filter("node <> ancestor").unionByName(own).unionByName(
-        found.filter("node = ancestor").join(own, ["node", "ancestor"], "left_anti"))
+    # no broadcast by the size of a compressed file: planned where the frame is read
+    turns = found.filter("node = ancestor").join(own.hint("merge"), ["node", "ancestor"], "left_anti")
+    return found.filter("node <> ancestor").unionByName(own).unionByName(turns)
 
 
 def _union(frames):
