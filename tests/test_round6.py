@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lumeval.operators.lineage import ancestors
+from lumeval.operators.lineage import ancestors, descendants
 from lumeval.session import conf_set
 
 
@@ -12,7 +12,7 @@ def _plans(spark):
     return [runs.apply(i).physicalPlanDescription() for i in range(runs.size())]
 
 
-@pytest.mark.parametrize("walk", [ancestors])
+@pytest.mark.parametrize("walk", [ancestors, descendants])
 def test_lineage_broadcasts_no_small_file_of_many_rows(spark, walk):
     # three levels; the written tables take about 0.3 MB, their rows over 3 MB
     edges = (spark.range(100_000).select((F.col("id") + 1000).alias("child"), (F.col("id") % 90 + 10).alias("parent"))
