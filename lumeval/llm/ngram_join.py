@@ -4,9 +4,10 @@
    same set form one class, named by a 64-bit digest of the set.
 2. Families: a pair with Jaccard >= t differs in at most d elements, d given by its sizes.
    The hash range is cut into d + 1 + s parts, so a linking pair agrees on s + 1 whole
-   parts at least, and on one non-empty part if a set has at most s empty parts (sets
-   with more also publish their empty parts).  Classes that publish an equal part are joined into a family; this loses no
-   pair and shared passages, being a few elements of a part, hardly ever join families.
+   parts at least.  A set publishes all but its s smallest parts (by elements, then place): the largest part that a pair
+   agrees on has s others of them below it in both sets, so both publish it.  Classes that publish an equal part are joined
+   into a family; this loses no pair, and as a published part holds several elements, passages that sets share hardly
+   ever join families, which would otherwise grow together as the input grows.
 3. Families are cut into blocks and each pair of blocks is one search: an inverted index over one
    block, each set of the other as a query.  DivideSkip merges the short inverted lists, keeps
    sets that occur often enough there, and looks them up in the long lists by binary search.  Survivors are
@@ -26,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, Workspace, batches, connected, mix64, span_hash, text_bytes, word_spans
+from .common import LOWER, Workspace, batches, connected, maybe_among, mix64, span_hash, text_bytes, word_spans
 
 NUM, DEN = 85, 100  # link when DEN * intersection >= NUM * union
 WORDS = 4
-SPARE = 2
+SPARE = 4  # parts beyond those needed: one for so many of the elements that a linking pair may differ in
 BLOCK = 2048  # classes of one block of a family
 SIGN = np.uint64(1 << 63)
 
@@ -96,7 +97,7 @@ def parts_of(tokens: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
             c = np.where(n > 0, cls + shift, 0)
             largest = BOUNDS[c + 1] - 1
             apart = 6 * largest // 37  # symmetric difference <= 3/37 of both sizes' sum, for 85/100
-            spare = SPARE + apart // 40  # many more than the parts that chance leaves empty
+            spare = -(-apart // SPARE)
             parts = apart + 1 + spare
             slot = (high * parts[owner]) >> 32
             base = np.concatenate([[0], np.cumsum(np.where(n > 0, parts, 0))])
@@ -107,8 +108,9 @@ def parts_of(tokens: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
             total = mixed[edge[1:]] - mixed[edge[:-1]]
             k = np.arange(len(row)) - base[:-1][row]
             sig = mix64(total + mix64((c[row].astype(np.uint64) << np.uint64(40)) + k.astype(np.uint64) + np.uint64(1)))
-            empties = np.bincount(row, count == 0, minlength=len(n))
-            use = (count > 0) | (empties > spare)[row]
+            order = np.argsort(row * (count.max(initial=0) + 1) + count, kind="stable")
+            use = np.ones(len(row), bool)
+            use[order[np.arange(len(row)) - base[:-1][row] < spare[row]]] = False  # ``row`` is sorted, before and after
             out_sig.append(sig[use])
             out_row.append(row[use])
     return np.concatenate(out_sig).astype(np.int64), np.concatenate(out_row)
@@ -306,8 +308,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     # one row of each class in a family brings its text
     first = (profile.join(family.select(F.col("id").alias("cls")), "cls", "left_semi")
              .groupBy("cls").agg(F.min("doc_id").alias("doc_id")))
-    first = ws.save(first.select("doc_id").distinct(), "first")
-    rep = docs.join(first.withColumnRenamed("doc_id", "__first"), F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi")
+    # the few other rows that pass are of a class that is there already, or of none
+    rep = docs.filter(maybe_among(spark, ws.save(first.select("doc_id"), "first"), "doc_id")(F.col("doc_id")))
     tiles = (_token_rows(rep).join(family.select(F.col("id").alias("cls"), "component", "g"), "cls")
              .withColumn("nb", F.ceil(F.col("g") / BLOCK).cast("int"))
              .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int"))
