@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lumeval.llm.common import Workspace, read
+from lumeval.llm.common import Workspace, maybe_among, read
 from lumeval.llm.language_id import UND, id_bucket, fit, predict
 from lumeval.llm.ngram_join import jaccard_components, shingle_profile
 from lumeval.llm.packing import pack
@@ -67,15 +67,20 @@ def quality(spark, docs, sf_dir):
 def near_duplicates(spark, docs, sf_dir):
     """Keeps the document with the smallest id of each group of near copies (one of them if all ids are null)."""
     ws = Workspace(spark, "near_duplicates")
-    groups = jaccard_components(spark, docs)
-    keep = ws.save(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("set_id").isNotNull())
+    groups = ws.save(jaccard_components(spark, docs).filter("set_id is not null")
+                     .select("doc_id", "component_id", "set_id", "component"), "groups")
+    many = groups.groupBy("component").count().filter("count > 1")
+    # only texts that may have a copy are moved to be compared
+    copied = maybe_among(spark, ws.save(groups.join(many, "component", "left_semi").select("doc_id"), "copied"), "doc_id")
+    keep = ws.save(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & copied(F.col("doc_id")))
                    .groupBy("component", "component_id").agg(F.min("set_id").alias("keep_set"))
                    .withColumnRenamed("component_id", "keep_id"), "keep")
-    marked = shingle_profile(docs, COLUMNS)
+    marked = shingle_profile(docs.filter(copied(F.col("doc_id"))), COLUMNS)
     kept = marked.join(keep, F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("cls") == F.col("keep_set")),
                        "left_semi")
     single = kept.dropDuplicates(["doc_id", "cls"]).select(*COLUMNS)
-    return single.unionByName(marked.filter("cls is null").select(*COLUMNS))  # without words: no group
+    return (docs.filter(~copied(F.col("doc_id"))).select(*COLUMNS).unionByName(single)
+            .unionByName(marked.filter("cls is null").select(*COLUMNS)))  # without words: no group
 
 
 def repeated_passages(spark, docs, sf_dir):

@@ -1,8 +1,11 @@
 """Families of the n-gram join and rows that move: published parts, Bloom filters, texts left where they are."""
 
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
+import corpus_pipeline as P
 from lumeval.llm import ngram_join as N
 from lumeval.llm.common import maybe_among
 
@@ -57,3 +60,19 @@ def test_filter_holds_every_key_and_few_others(spark):
     tight = maybe_among(spark, keys, "k", most_bits=1 << 10)  # too small: more pass, none is lost
     assert rows.filter(tight(F.col("k"))).filter("coalesce(k, 0) % 2 = 0").count() == 20_000
     assert rows.filter(maybe_among(spark, keys.limit(0), "k")(F.col("k"))).count() == 0
+
+
+def test_texts_without_copies_are_not_shuffled(spark, tmp_path, monkeypatch):
+    g = random.Random(7)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(g.choices(words, k=g.randrange(3, 60))) for _ in range(300)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(300 + i, texts[i]) for i in range(20)]
+    rows += [(None, texts[30]), (None, "only here and nowhere else"), (5, "an id that comes twice"), (7, ""), (None, None)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, "
+                               "source string, n_chars long").repartition(3)
+    moved, profile = [], P.shingle_profile
+    monkeypatch.setattr(P, "shingle_profile", lambda d, keep: (moved.append(d.count()), profile(d, keep))[1])
+    got = sorted(((r.doc_id, r.text) for r in P.near_duplicates(spark, df, str(tmp_path)).collect()), key=str)
+    want = [r for r in rows if not (r[0] or 0) >= 300 and not (r[0] is None and r[1] == texts[30])]
+    assert got == sorted(want, key=str)
+    assert 41 <= moved[0] < 60  # the copies, their originals and one more row with no id; all 325 rows before
