@@ -6,8 +6,9 @@ Plan:
 1. Questions and chunks are dealt into blocks by a hash; the number of
    blocks follows from their bytes (``lumeval.retrieval.maxBatchBytes`` a
    block), so a pair of blocks fits a task whatever the tables' size.
-2. Every pair of blocks meets in one cell of a shuffle.  A cell computes its
-   cosines as NumPy block products and gives out its top k per question, so
+2. Every pair of blocks meets in one cell of a shuffle.  A cell computes all its
+   cosines as NumPy products of tiles that stay in the processor's caches, looks only at those
+   above a question's k-th best so far, and gives out its top k per question, so
    no pair rows reach the next shuffle, and nothing passes the driver.
 3. One window ``row_number() <= k`` per question merges the <= k x blocks
    candidates (Catalyst adds a partial WindowGroupLimit before the shuffle).
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 from .joins import broadcast_if_small
 
 DEFAULT_MAX_BATCH_BYTES = 64 * 1024 * 1024
-BLOCK_ENTRIES = 4 * 1024 * 1024  # (chunks x questions) per NumPy block, 32 MiB
+TILE = 1024  # questions, and chunks, of one NumPy product: 8 MiB of cosines
 
 
 def _unit_matrix(t: pa.Table) -> np.ndarray:
@@ -45,6 +46,59 @@ def _unit_matrix(t: pa.Table) -> np.ndarray:
     return mat
 
 
+def _padded(mat: np.ndarray) -> np.ndarray:
+    """Zero rows up to whole tiles: products have one shape, so equal vectors get equal cosines wherever they stand."""
+    out = np.zeros((-(-len(mat) // TILE) * TILE, mat.shape[1]))
+    out[:len(mat)] = mat
+    return out
+
+
+def _best(k: int, row: np.ndarray, at: np.ndarray, score: np.ndarray):
+    """The k entries of each row with the highest scores, the first of equal ones."""
+    order = np.lexsort((at, -score, row))
+    row, at, score = row[order], at[order], score[order]
+    first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else np.zeros(0, np.int64)
+    rank = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
+    return row[rank < k], at[rank < k], score[rank < k], rank[rank < k]
+
+
+def _tile_topk(q_unit: np.ndarray, c_unit: np.ndarray, k: int, q_self=None, c_self=None):
+    """(question, chunk, cosine) of the top k chunks of each question; of equal cosines the first chunk.
+
+    A question keeps its k best so far; of a later tile only what is above the least of them is looked at.
+    ``q_self``, ``c_self``: numbers of the ids; chunks with the question's own are left out.
+    """
+    nq, m = len(q_unit), len(c_unit)
+    q_unit, c_unit = _padded(q_unit), _padded(c_unit)
+    if q_self is not None:
+        by = [np.argsort(c_self[i:i + TILE], kind="stable") for i in range(0, m, TILE)]
+    parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    for j in range(0, nq, TILE):
+        n = min(TILE, nq - j)
+        row, at, score = parts[0]
+        least = np.full(n, -np.inf)
+        for i in range(0, m, TILE):
+            s = (q_unit[j:j + TILE] @ c_unit[i:i + TILE].T)[:n, :m - i]
+            if q_self is not None:
+                own = by[i // TILE]
+                low, high = (np.searchsorted(c_self[i:i + TILE][own], q_self[j:j + n], side) for side in ("left", "right"))
+                same = high - low
+                s[np.repeat(np.arange(n), same),
+                  own[np.repeat(low - (np.cumsum(same) - same), same) + np.arange(same.sum())]] = -np.inf
+            if i == 0:
+                kk = min(k, s.shape[1])
+                cut = np.maximum(np.partition(s, s.shape[1] - kk, axis=1)[:, s.shape[1] - kk], np.finfo(float).min)
+                r, c = np.nonzero(s >= cut[:, None])
+            else:
+                r, c = np.nonzero(s > least[:, None])
+            if len(r):
+                row, at, score, rank = _best(k, np.concatenate([row, r]), np.concatenate([at, c + i]),
+                                             np.concatenate([score, s[r, c]]))
+                least[row[rank == k - 1]] = score[rank == k - 1]
+        parts.append((row + j, at, score))
+    return [np.concatenate(x) for x in zip(*parts)]
+
+
 def _cell_topk(k: int, exclude_self: bool, carry: list[str], q_carry: list[str]):
     names = ["q", "chunk_id", "pos", "score", *carry, *[f"q_{c}" for c in q_carry]]
 
@@ -54,25 +108,16 @@ def _cell_topk(k: int, exclude_self: bool, carry: list[str], q_carry: list[str])
         score = np.zeros(0)
         if nq and m:
             q_unit, c_unit = _unit_matrix(qs), _unit_matrix(cs)
-            pos = cs.column("pos").to_numpy()
+            order = np.argsort(cs.column("pos").to_numpy(), kind="stable")  # of equal cosines the first position stays
+            # a vector without a cosine is never retrieved and retrieves nothing
+            known = np.flatnonzero(~np.isnan(q_unit).any(axis=1))
+            order = order[~np.isnan(c_unit).any(axis=1)[order]]
+            ids = []
             if exclude_self:
                 both = pd.factorize(np.concatenate([qs.column("_self").to_pandas(), cs.column("_self").to_pandas()]))[0]
-            parts = []
-            step = max(1, BLOCK_ENTRIES // m)
-            for j0 in range(0, nq, step):
-                j1 = min(nq, j0 + step)
-                s = c_unit @ q_unit[j0:j1].T  # (m, block) cosine
-                s[np.isnan(s)] = -np.inf
-                if exclude_self:
-                    s[both[nq:, None] == both[None, j0:j1]] = -np.inf
-                kk = min(k, m)
-                thr = -np.partition(-s, kk - 1, axis=0)[kk - 1]  # k-th best per question
-                r, col = np.nonzero((s >= thr[None, :]) & np.isfinite(s))
-                part = pd.DataFrame({"q": col + j0, "c": r, "score": s[r, col], "pos": pos[r]})
-                part = part.sort_values(["q", "score", "pos"], ascending=[True, False, True], kind="stable")
-                parts.append(part[part.groupby("q").cumcount() < k])
-            best = pd.concat(parts)
-            qi, ci, score = best["q"].to_numpy(), best["c"].to_numpy(), best["score"].to_numpy()
+                ids = [both[:nq][known], both[nq:][order]]
+            qi, ci, score = _tile_topk(q_unit[known], c_unit[order], k, *ids)
+            qi, ci = known[qi], order[ci]
         left, right = (t.drop_columns(["_vec"]).take(pa.array(i)) for t, i in ((qs, qi), (cs, ci)))
         return pa.table([left.column("q"), right.column("chunk_id"), right.column("pos"), pa.array(score, pa.float64()),
                          *[right.column(c) for c in carry], *[left.column(f"q_{c}") for c in q_carry]], names=names)

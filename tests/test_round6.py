@@ -1,8 +1,10 @@
-"""Rounds without broadcasts by the size of compressed files."""
+"""Rounds without broadcasts by the size of compressed files; retrieval by tiles."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lumeval.operators import retrieval
 from lumeval.operators.lineage import ancestors, descendants
 from lumeval.session import conf_set
 
@@ -24,3 +26,25 @@ def test_lineage_broadcasts_no_small_file_of_many_rows(spark, walk):
     plans = _plans(spark)[before:]
     first = next(p for p in plans if "Join" in p)
     assert "BroadcastHashJoin" not in first
+
+
+def test_cells_look_at_few_cosines(monkeypatch):
+    """Top k by tiles equals a full sort; after the first tile only what is above the k-th best so far is sorted."""
+    g = np.random.default_rng(8)
+    c = g.standard_normal((5000, 8))
+    c[3000:3010] = c[:10]  # equal vectors: the first position wins
+    c /= np.linalg.norm(c, axis=1)[:, None]
+    ids = np.concatenate([np.arange(4990), np.arange(10)])  # an id may come twice
+    seen, best = [], retrieval._best
+    monkeypatch.setattr(retrieval, "_best", lambda *a: (seen.append(len(a[1])), best(*a))[1])
+    for own in ((), (ids[:1100], ids)):
+        q, at, score = retrieval._tile_topk(c[:1100], c, 3, *own)
+        s = c[:1100] @ c.T
+        if own:
+            s[ids[:1100, None] == ids[None]] = -np.inf
+        s = np.round(s, 12)
+        want = np.argsort(-s, axis=1, kind="stable")[:, :3]
+        assert np.array_equal(at.reshape(-1, 3), want) and np.array_equal(q, np.repeat(np.arange(1100), 3))
+        assert np.allclose(score, np.take_along_axis(s, want, 1).ravel())
+    assert sum(seen) < 2 * 1100 * 60, sum(seen)
+    assert all(len(x) == 0 for x in retrieval._tile_topk(c[:5], c[:0], 2))
